@@ -8,50 +8,30 @@ from tripmetrics.schemas import CLEAN, STANDARD
 
 # One trip per lineitem row.
 _TRIPS = f"""
-seconds AS (
-  SELECT *, (l_partkey * 4337) % 86400 AS start_s,
-         (l_partkey * 4337) % 86400 + (l_partkey * l_linenumber) % 9000 - 30 AS end_s,
-         l_extendedprice / 1000 AS price
-  FROM lineitem
-),
 trips AS (
   SELECT
-    CAST(CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 6 WHEN 4 THEN 7
-         WHEN 6 THEN 3 WHEN 7 THEN 2 END AS INTEGER) AS VendorID,
-    l_shipdate + to_seconds(start_s) AS tpep_pickup_datetime,
-    l_shipdate + to_seconds(end_s) AS tpep_dropoff_datetime,
-    CASE WHEN l_quantity <> 50 THEN CAST(l_quantity AS BIGINT) % 8 END AS passenger_count,
-    (l_quantity - 1) * CAST(4.3 AS DOUBLE) AS trip_distance,
+    NULLIF(l_linenumber, 5) AS VendorID,
+    l_shipdate + to_seconds(trunc(l_extendedprice)) AS tpep_pickup_datetime,
+    l_shipdate + to_seconds(trunc(l_extendedprice * 1.08::DOUBLE - 100))
+      AS tpep_dropoff_datetime,
+    NULLIF(l_partkey % 9, 8) AS passenger_count,
+    l_quantity * 4.07::DOUBLE AS trip_distance,
     NULLIF(l_suppkey % 9, 0) AS RatecodeID,
-    CASE l_returnflag WHEN 'A' THEN 'Y' WHEN 'N' THEN 'N' END AS store_and_fwd_flag,
+    NULLIF(l_returnflag, 'R') AS store_and_fwd_flag,
     CAST(l_orderkey % 25 AS INTEGER) AS PULocationID,
-    CAST((l_partkey + l_suppkey) % 25 AS INTEGER) AS DOLocationID,
+    CAST(l_partkey % 25 AS INTEGER) AS DOLocationID,
     l_partkey % 8 AS payment_type,
-    CASE WHEN l_linenumber = 7 AND l_partkey % 2 = 0 THEN NULL
-         WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -price ELSE price END AS fare_amount,
-    CAST(CASE WHEN l_partkey % 10 = 5 THEN NULL
-         WHEN l_partkey % 10 = 1 AND l_linenumber = 2 THEN -0.5
-         ELSE l_partkey % 3 END AS DOUBLE) AS extra,
-    CAST(CASE WHEN l_linenumber = 3 AND l_partkey % 10 = 2 THEN NULL
-         WHEN l_linenumber = 4 AND l_partkey % 10 = 3 THEN -0.5 ELSE 0.5 END AS DOUBLE) AS mta_tax,
-    CAST(CASE WHEN l_partkey % 10 = 4 THEN NULL
-         WHEN l_returnflag = 'R' AND l_linenumber = 2 THEN -1
-         ELSE round(l_tax * 100, 0) END AS DOUBLE) AS tip_amount,
-    CAST(CASE WHEN l_linenumber = 6 THEN -1 ELSE l_linenumber % 2 END AS DOUBLE) AS tolls_amount,
-    CAST(CASE WHEN l_suppkey % 10 = 3 THEN NULL
-         WHEN l_suppkey % 10 = 4 AND l_linenumber = 5 THEN -0.3
-         ELSE 0.3 END AS DOUBLE) AS improvement_surcharge,
-    CASE WHEN l_partkey % 50 = 1 THEN NULL WHEN l_partkey % 50 = 2 THEN -price
-         ELSE price + 1 END AS total_amount,
-    CAST(CASE WHEN l_linenumber = 4 THEN NULL WHEN l_linenumber = 5 THEN -2.5
-         ELSE 2.5 END AS DOUBLE) AS congestion_surcharge,
-    CAST(CASE WHEN l_suppkey % 10 = 0 THEN NULL
-         WHEN l_suppkey % 10 = 1 AND l_linenumber = 3 THEN -1.75
-         ELSE 1.75 * (l_linenumber % 2) END AS DOUBLE) AS Airport_fee,
-    CAST(CASE WHEN year(l_shipdate) < {DRIFT_YEAR} THEN NULL
-         WHEN l_suppkey % 10 = 2 AND l_linenumber = 2 THEN -0.75
-         ELSE 0.75 END AS DOUBLE) AS cbd_congestion_fee
-  FROM seconds
+    CASE WHEN l_linenumber <> 7 THEN l_extendedprice - 5000 END AS fare_amount,
+    0.09::DOUBLE - NULLIF(l_discount, 0.05::DOUBLE) AS extra,
+    l_tax - 0.01::DOUBLE AS mta_tax,
+    NULLIF(l_quantity, 13) - 2 AS tip_amount,
+    CAST(NULLIF(l_linenumber, 1) - 2 AS DOUBLE) AS tolls_amount,
+    CAST(NULLIF(l_suppkey % 13, 3) - 1 AS DOUBLE) AS improvement_surcharge,
+    CASE WHEN l_linenumber <> 4 THEN l_extendedprice - l_discount * 200000 END AS total_amount,
+    CAST(NULLIF(l_linenumber, 6) - 3 AS DOUBLE) AS congestion_surcharge,
+    NULLIF(l_discount, 0.07::DOUBLE) - 0.01::DOUBLE AS Airport_fee,
+    CASE WHEN year(l_shipdate) >= {DRIFT_YEAR} THEN 0.07::DOUBLE - l_tax END AS cbd_congestion_fee
+  FROM lineitem
 )"""
 
 _ZONES = """
@@ -122,7 +102,7 @@ def _derived(name: str, source: str) -> str:
     {_VENDOR.format("Vendor_ID")} AS Vendor_Name,
     {_RATE.format("Ratecode_ID")} AS Ratecode_Description,
     {_PAYMENT.format("payment_type")} AS Payment_Method,
-    round(trip_distance * CAST(1.609 AS DOUBLE), 2) AS Trip_Distance_Km,
+    round(trip_distance * 1.609::DOUBLE, 2) AS Trip_Distance_Km,
     CAST(year(Trip_Pickup_DateTime) AS INTEGER) AS Year,
     strftime(Trip_Pickup_DateTime, '%b') AS Month
   FROM {source}
@@ -194,7 +174,7 @@ def _profile() -> str:
 
 def _share(key: str, extra: str = "") -> str:
     return f"""{_FROM_CLEANED} SELECT {key}, count(*) AS trip_count,
-        round(CAST(100.0 AS DOUBLE) * count(*) / (SELECT count(*) FROM cleaned), 4) AS share_pct
+        round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM cleaned), 4) AS share_pct
         {extra} FROM cleaned GROUP BY {key}"""
 
 
@@ -248,7 +228,7 @@ ORACLE: dict[str, str] = {
     "trip_duration": f"""{_FROM_RENAMED} SELECT Trip_Pickup_DateTime, Trip_Dropoff_DateTime,
         trip_duration_min FROM timed""",
     "distance_km": f"""{_FROM_TRIPS} SELECT trip_distance,
-        round(trip_distance * CAST(1.609 AS DOUBLE), 2) AS Trip_Distance_Km FROM trips""",
+        round(trip_distance * 1.609::DOUBLE, 2) AS Trip_Distance_Km FROM trips""",
     "date_parts": f"""{_FROM_TRIPS} SELECT tpep_pickup_datetime,
         CAST(year(tpep_pickup_datetime) AS INTEGER) AS Year,
         strftime(tpep_pickup_datetime, '%b') AS Month FROM trips""",
@@ -280,7 +260,7 @@ ORACLE: dict[str, str] = {
     "cleaning_report": f"""{_FROM_PREPARED} SELECT count(*) AS original_count,
         count(*) FILTER (WHERE {_RULES}) AS kept_count,
         count(*) - count(*) FILTER (WHERE {_RULES}) AS dropped_count,
-        round(CAST(100.0 AS DOUBLE) * (count(*) - count(*) FILTER (WHERE {_RULES})) / count(*), 2)
+        round(100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE {_RULES})) / count(*), 2)
           AS dropped_pct FROM prepared""",
     "preview_limit": f"""{_CLEANED} ORDER BY
         {", ".join(f"{name} ASC NULLS LAST" for name in CLEAN.names)} LIMIT {PREVIEW_ROWS}""",

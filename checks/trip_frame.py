@@ -24,60 +24,43 @@ T = TypeVar("T")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20-column standard trip frame."""
+    """The 20-column standard trip frame.
+
+    The expressions are kept short: filters on trips are evaluated on them, and generated
+    methods past a certain size are not compiled by the JVM.
+    """
     line, part = f.col("l_linenumber"), f.col("l_partkey")
     supp, order = f.col("l_suppkey"), f.col("l_orderkey")
-    price = f.col("l_extendedprice") / 1000
-    returned = f.col("l_returnflag") == "R"
-    start = part * 4337 % 86400
-    end = start + part * line % 9000 - 30
+    price, quantity = f.col("l_extendedprice"), f.col("l_quantity")
+    discount, tax = f.col("l_discount"), f.col("l_tax")
 
     def at(seconds: Column) -> Column:
-        return f.timestamp_add("SECOND", seconds.cast("int"), "l_shipdate")
+        return f.timestamp_add("SECOND", seconds.cast("bigint"), "l_shipdate")
+
+    def but(column: Column, value: float | str) -> Column:
+        return f.nullif(column, f.lit(value))
 
-    vendor = f.when(line == 1, 1).when(line == 2, 2).when(line == 3, 6).when(line == 4, 7)
-    vendor = vendor.when(line == 6, 3).when(line == 7, 2)
     columns = {
-        "VendorID": vendor,
-        "tpep_pickup_datetime": at(start),
-        "tpep_dropoff_datetime": at(end),
-        "passenger_count": f.when(
-            f.col("l_quantity") != 50, f.col("l_quantity").cast("bigint") % 8
-        ),
-        "trip_distance": (f.col("l_quantity") - 1) * 4.3,
-        "RatecodeID": f.nullif(supp % 9, f.lit(0)),
-        "store_and_fwd_flag": f.when(f.col("l_returnflag") == "A", "Y").when(
-            f.col("l_returnflag") == "N", "N"
-        ),
+        "VendorID": but(line, 5),
+        "tpep_pickup_datetime": at(price),
+        "tpep_dropoff_datetime": at(price * 1.08 - 100),
+        "passenger_count": but(part % 9, 8),
+        "trip_distance": quantity * 4.07,
+        "RatecodeID": but(supp % 9, 0),
+        "store_and_fwd_flag": but(f.col("l_returnflag"), "R"),
         "PULocationID": order % 25,
-        "DOLocationID": (part + supp) % 25,
+        "DOLocationID": part % 25,
         "payment_type": part % 8,
-        "fare_amount": f.when((line == 7) & (part % 2 == 0), None)
-        .when(returned & (line == 1), -price)
-        .otherwise(price),
-        "extra": f.when(part % 10 == 5, None)
-        .when((part % 10 == 1) & (line == 2), -0.5)
-        .otherwise(part % 3),
-        "mta_tax": f.when((line == 3) & (part % 10 == 2), None)
-        .when((line == 4) & (part % 10 == 3), -0.5)
-        .otherwise(0.5),
-        "tip_amount": f.when(part % 10 == 4, None)
-        .when(returned & (line == 2), -1.0)
-        .otherwise(f.round(f.col("l_tax") * 100, 0)),
-        "tolls_amount": f.when(line == 6, -1.0).otherwise(line % 2),
-        "improvement_surcharge": f.when(supp % 10 == 3, None)
-        .when((supp % 10 == 4) & (line == 5), -0.3)
-        .otherwise(0.3),
-        "total_amount": f.when(part % 50 == 1, None)
-        .when(part % 50 == 2, -price)
-        .otherwise(price + 1),
-        "congestion_surcharge": f.when(line == 4, None).when(line == 5, -2.5).otherwise(2.5),
-        "Airport_fee": f.when(supp % 10 == 0, None)
-        .when((supp % 10 == 1) & (line == 3), -1.75)
-        .otherwise(1.75 * (line % 2)),
-        "cbd_congestion_fee": f.when(f.year("l_shipdate") < DRIFT_YEAR, None)
-        .when((supp % 10 == 2) & (line == 2), -0.75)
-        .otherwise(0.75),
+        "fare_amount": f.when(line != 7, price - 5000),
+        "extra": 0.09 - but(discount, 0.05),
+        "mta_tax": tax - 0.01,
+        "tip_amount": but(quantity, 13) - 2,
+        "tolls_amount": but(line, 1).cast("double") - 2,
+        "improvement_surcharge": but(supp % 13, 3).cast("double") - 1,
+        "total_amount": f.when(line != 4, price - discount * 200000),
+        "congestion_surcharge": but(line, 6).cast("double") - 3,
+        "Airport_fee": but(discount, 0.07) - 0.01,
+        "cbd_congestion_fee": f.when(f.year("l_shipdate") >= DRIFT_YEAR, 0.07 - tax),
     }
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return lineitem.select(

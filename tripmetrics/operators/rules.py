@@ -12,11 +12,21 @@ from tripmetrics.schemas import NON_NEGATIVE, RANGES
 
 
 def trip_rules() -> dict[str, Column]:
-    """The twelve rules a kept trip satisfies, by name."""
-    rules = {f"{name}_range": f.col(name).between(*RANGES[name]) for name in RANGES}
-    rules["distinct_zones"] = f.col("Pickup_Location_ID") != f.col("Dropoff_Location_ID")
-    rules |= {f"{name}_not_negative": f.col(name) >= 0 for name in NON_NEGATIVE}
-    return rules
+    """The twelve rules a kept trip satisfies, by name.
+
+    They are tried in this order; the duration, which has to be computed, comes last.
+    """
+
+    def in_range(name: str) -> Column:
+        return f.col(name).between(*RANGES[name])
+
+    return {
+        "passenger_count_range": in_range("passenger_count"),
+        "trip_distance_range": in_range("trip_distance"),
+        "distinct_zones": f.col("Pickup_Location_ID") != f.col("Dropoff_Location_ID"),
+        **{f"{name}_not_negative": f.col(name) >= 0 for name in NON_NEGATIVE},
+        "trip_duration_min_range": in_range("trip_duration_min"),
+    }
 
 
 def all_hold(rules: dict[str, Column]) -> Column:
