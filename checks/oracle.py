@@ -174,7 +174,7 @@ def _profile() -> str:
 
 def _share(key: str, extra: str = "") -> str:
     return f"""{_FROM_CLEANED} SELECT {key}, count(*) AS trip_count,
-        round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM cleaned), 4) AS share_pct
+        100.0::DOUBLE * count(*) / (SELECT count(*) FROM cleaned) AS share_pct
         {extra} FROM cleaned GROUP BY {key}"""
 
 
@@ -191,11 +191,11 @@ def _label(code: str, case: str) -> str:
     return f"{_FROM_TRIPS} SELECT {code}, {case.format(code)} AS label FROM trips"
 
 
-_MEANS = """round(avg(Trip_Distance_Km), 4) AS avg_km,
-    round(avg(trip_duration_min), 4) AS avg_minutes, round(avg(tip_amount), 4) AS avg_tip"""
+_MEANS = """round(avg(Trip_Distance_Km), 8) AS avg_km,
+    round(avg(trip_duration_min), 8) AS avg_minutes, round(avg(tip_amount), 8) AS avg_tip"""
 _SPOT = "passenger_count = 0 OR trip_distance > 200 OR trip_duration_min > 120.1"
 _BOROUGHS = f"""{_FROM_CLEANED} SELECT Pickup_Borough, count(*) AS trip_count,
-    round(avg(trip_distance_miles), 4) AS avg_distance FROM cleaned GROUP BY Pickup_Borough"""
+    round(avg(trip_distance_miles), 8) AS avg_distance FROM cleaned GROUP BY Pickup_Borough"""
 _ALL_TRIPS = f"{_FROM_TRIPS} SELECT * FROM trips"
 
 ORACLE: dict[str, str] = {

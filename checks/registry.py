@@ -120,7 +120,7 @@ def external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         """
         SELECT Pickup_Borough, count(*) AS trip_count,
-               round(avg(trip_distance_miles), 4) AS avg_distance
+               round(avg(trip_distance_miles), 8) AS avg_distance
         FROM IDENTIFIER(:table)
         GROUP BY Pickup_Borough
         ORDER BY trip_count DESC, Pickup_Borough NULLS LAST
@@ -252,7 +252,7 @@ def stage_clean_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(config.table_name).select(*CLEAN.names)
 
 
-MEANS = {"avg_km": 4, "avg_minutes": 4, "avg_tip": 4}
+MEANS = {"avg_km": 8, "avg_minutes": 8, "avg_tip": 8}
 
 QUERIES: dict[str, Query] = {
     "scan_parquet_months": scan_parquet_months,
@@ -300,7 +300,7 @@ QUERIES: dict[str, Query] = {
     "cleaning_report": lambda spark, d: op.cleaning_report(_prepared(spark, d), op.trip_rules()),
     "preview_limit": lambda spark, d: metrics.preview(_cleaned(spark, d), PREVIEW_ROWS),
     "borough_summary": lambda spark, d: _rounded(
-        metrics.borough_summary(_with_zone(spark, d, "Pickup")), avg_distance=4
+        metrics.borough_summary(_with_zone(spark, d, "Pickup")), avg_distance=8
     ),
     "monthly_revenue": lambda spark, d: _rounded(
         metrics.monthly_revenue(_tidy(spark, d)), revenue=2
@@ -310,11 +310,11 @@ QUERIES: dict[str, Query] = {
     ),
     "trips_by_hour": lambda spark, d: metrics.trips_by_hour(_tidy(spark, d)),
     "trips_by_month": lambda spark, d: _rounded(metrics.trips_by_month(_tidy(spark, d)), **MEANS),
-    "pickup_borough_share": lambda spark, d: _rounded(
-        metrics.pickup_borough_share(_with_zone(spark, d, "Pickup")), share_pct=4
+    "pickup_borough_share": lambda spark, d: metrics.pickup_borough_share(
+        _with_zone(spark, d, "Pickup")
     ),
-    "dropoff_borough_share": lambda spark, d: _rounded(
-        metrics.dropoff_borough_share(_with_zone(spark, d, "Dropoff")), share_pct=4
+    "dropoff_borough_share": lambda spark, d: metrics.dropoff_borough_share(
+        _with_zone(spark, d, "Dropoff")
     ),
     "top_pickup_zones": lambda spark, d: metrics.top_pickup_zones(
         _with_zone(spark, d, "Pickup"), TOP_ZONES
@@ -326,11 +326,9 @@ QUERIES: dict[str, Query] = {
         _with_zone(spark, d, "Pickup")
     ),
     "vendor_summary": lambda spark, d: _rounded(
-        metrics.vendor_summary(_tidy(spark, d)), share_pct=4, revenue=2
-    ),
-    "payment_summary": lambda spark, d: _rounded(
-        metrics.payment_summary(_tidy(spark, d)), share_pct=4
+        metrics.vendor_summary(_tidy(spark, d)), revenue=2
     ),
+    "payment_summary": lambda spark, d: metrics.payment_summary(_tidy(spark, d)),
     "ratecode_revenue": lambda spark, d: _rounded(
         metrics.ratecode_revenue(_tidy(spark, d)), revenue=2
     ),

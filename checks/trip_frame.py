@@ -22,49 +22,42 @@ from tripmetrics.sources import write_table
 DRIFT_YEAR = 1999
 T = TypeVar("T")
 
+# Kept short: filters on trips are evaluated on these expressions, and generated methods past
+# a certain size are not compiled by the JVM.
+_TRIP_COLUMNS = {
+    "VendorID": "nullif(l_linenumber, 5)",
+    "tpep_pickup_datetime": "timestampadd(SECOND, CAST(l_extendedprice AS BIGINT), l_shipdate)",
+    "tpep_dropoff_datetime": (
+        "timestampadd(SECOND, CAST(l_extendedprice * 1.08D - 100 AS BIGINT), l_shipdate)"
+    ),
+    "passenger_count": "nullif(l_partkey % 9, 8)",
+    "trip_distance": "l_quantity * 4.07D",
+    "RatecodeID": "nullif(l_suppkey % 9, 0)",
+    "store_and_fwd_flag": "nullif(l_returnflag, 'R')",
+    "PULocationID": "l_orderkey % 25",
+    "DOLocationID": "l_partkey % 25",
+    "payment_type": "l_partkey % 8",
+    "fare_amount": "CASE WHEN l_linenumber <> 7 THEN l_extendedprice - 5000 END",
+    "extra": "0.09D - nullif(l_discount, 0.05D)",
+    "mta_tax": "l_tax - 0.01D",
+    "tip_amount": "nullif(l_quantity, 13) - 2",
+    "tolls_amount": "CAST(nullif(l_linenumber, 1) AS DOUBLE) - 2",
+    "improvement_surcharge": "CAST(nullif(l_suppkey % 13, 3) AS DOUBLE) - 1",
+    "total_amount": "CASE WHEN l_linenumber <> 4 THEN l_extendedprice - l_discount * 200000 END",
+    "congestion_surcharge": "CAST(nullif(l_linenumber, 6) AS DOUBLE) - 3",
+    "Airport_fee": "nullif(l_discount, 0.07D) - 0.01D",
+    "cbd_congestion_fee": f"CASE WHEN year(l_shipdate) >= {DRIFT_YEAR} THEN 0.07D - l_tax END",
+}
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20-column standard trip frame.
 
-    The expressions are kept short: filters on trips are evaluated on them, and generated
-    methods past a certain size are not compiled by the JVM.
-    """
-    line, part = f.col("l_linenumber"), f.col("l_partkey")
-    supp, order = f.col("l_suppkey"), f.col("l_orderkey")
-    price, quantity = f.col("l_extendedprice"), f.col("l_quantity")
-    discount, tax = f.col("l_discount"), f.col("l_tax")
-
-    def at(seconds: Column) -> Column:
-        return f.timestamp_add("SECOND", seconds.cast("bigint"), "l_shipdate")
-
-    def but(column: Column, value: float | str) -> Column:
-        return f.nullif(column, f.lit(value))
-
-    columns = {
-        "VendorID": but(line, 5),
-        "tpep_pickup_datetime": at(price),
-        "tpep_dropoff_datetime": at(price * 1.08 - 100),
-        "passenger_count": but(part % 9, 8),
-        "trip_distance": quantity * 4.07,
-        "RatecodeID": but(supp % 9, 0),
-        "store_and_fwd_flag": but(f.col("l_returnflag"), "R"),
-        "PULocationID": order % 25,
-        "DOLocationID": part % 25,
-        "payment_type": part % 8,
-        "fare_amount": f.when(line != 7, price - 5000),
-        "extra": 0.09 - but(discount, 0.05),
-        "mta_tax": tax - 0.01,
-        "tip_amount": but(quantity, 13) - 2,
-        "tolls_amount": but(line, 1).cast("double") - 2,
-        "improvement_surcharge": but(supp % 13, 3).cast("double") - 1,
-        "total_amount": f.when(line != 4, price - discount * 200000),
-        "congestion_surcharge": but(line, 6).cast("double") - 3,
-        "Airport_fee": but(discount, 0.07) - 0.01,
-        "cbd_congestion_fee": f.when(f.year("l_shipdate") >= DRIFT_YEAR, 0.07 - tax),
-    }
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20-column standard trip frame."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lineitem.select(
-        *[columns[field.name].cast(field.dataType).alias(field.name) for field in STANDARD]
+    return lineitem.selectExpr(
+        *[
+            f"CAST({_TRIP_COLUMNS[field.name]} AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in STANDARD
+        ]
     )
 
 

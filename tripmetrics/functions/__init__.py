@@ -3,9 +3,10 @@
 from tripmetrics.functions.expressions import (
     code_label,
     duration_minutes,
+    fitting_cast,
     kilometres,
     month_label,
     without_nan,
 )
 
-__all__ = ["code_label", "duration_minutes", "kilometres", "month_label", "without_nan"]
+__all__ = ["code_label", "duration_minutes", "fitting_cast", "kilometres", "month_label", "without_nan"]

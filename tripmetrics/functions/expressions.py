@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as f
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    FractionalType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    ShortType,
+)
 
 from tripmetrics.schemas import KM_PER_MILE, UNKNOWN
 
@@ -40,6 +49,34 @@ def code_label(code: str, labels: dict[int, str]) -> Column:
     return chain.otherwise(UNKNOWN)
 
 
+_BITS = {ByteType(): 8, ShortType(): 16, IntegerType(): 32, LongType(): 64}
+
+
+def fitting_cast(value: Column, source: DataType, target: DataType) -> Column:
+    """``value`` cast to ``target``; null where it does not fit, fractions cut off.
+
+    Numbers are compared with the target's range first: a failing ``try_cast`` raises and
+    catches an exception inside, which is many times slower when misfits are frequent.
+    """
+    if source == target:
+        return value
+    if isinstance(target, IntegralType) and isinstance(source, (IntegralType, FractionalType)):
+        bits = _BITS[target]
+        if isinstance(source, IntegralType) and _BITS[source] <= bits:
+            return value.cast(target)
+        limit = 2 ** (bits - 1)
+        if isinstance(source, IntegralType):
+            fits = value.between(-limit, limit - 1)
+        elif bits < 64:
+            fits = (value > float(-limit - 1)) & (value < float(limit))
+        else:
+            fits = (value >= float(-limit)) & (value < float(limit))
+        return f.when(fits, value.cast(target))
+    if isinstance(target, FractionalType) and isinstance(source, IntegralType):
+        return value.cast(target)
+    return value.try_cast(target)
+
+
 def without_nan(number: str) -> Column:
     """The column with NaN read as null."""
     return f.nanvl(f.col(number), f.lit(None).cast("double"))

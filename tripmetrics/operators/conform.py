@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
 from pyspark.sql.types import StructField, StructType
 
+from tripmetrics.functions import fitting_cast
+
 
 def _columns_by_lower_name(df: DataFrame) -> dict[str, StructField]:
     found: dict[str, StructField] = {}
@@ -35,10 +37,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         source = found.get(field.name.lower())
         if source is None:
             value = f.lit(None).cast(field.dataType)
-        elif source.dataType == field.dataType:
-            value = _source(source)
         else:
-            value = _source(source).try_cast(field.dataType)
+            value = fitting_cast(_source(source), source.dataType, field.dataType)
         return value.alias(field.name)
 
     return df.select(*[target(field) for field in schema.fields])
@@ -74,14 +74,17 @@ def _profile(group: str, df: DataFrame, schema: StructType) -> DataFrame:
         source = found.get(field.name.lower())
         if source is not None:
             value = _source(source)
-            lost = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            fitted = fitting_cast(value, source.dataType, field.dataType)
             counts.append(f.count(value).alias(f"filled_{position}"))
-            counts.append(f.count_if(lost).alias(f"lost_{position}"))
+            counts.append(f.count(fitted).alias(f"fitted_{position}"))
     totals = df.agg(*counts)
 
     def row(position: int, field: StructField) -> Column:
         source = found.get(field.name.lower())
-        filled = f.col(f"filled_{position}") if source else f.lit(0).cast("bigint")
+        if source is None:
+            filled = fitted = f.lit(0).cast("bigint")
+        else:
+            filled, fitted = f.col(f"filled_{position}"), f.col(f"fitted_{position}")
         return f.struct(
             f.lit(group).alias("source_group"),
             f.lit(field.name).alias("column_name"),
@@ -89,7 +92,7 @@ def _profile(group: str, df: DataFrame, schema: StructType) -> DataFrame:
             f.lit(field.dataType.simpleString()).alias("target_type"),
             f.col("rows").alias("row_count"),
             (f.col("rows") - filled).alias("null_count"),
-            (f.col(f"lost_{position}") if source else f.lit(0).cast("bigint")).alias("lost_count"),
+            (filled - fitted).alias("lost_count"),
         )
 
     rows = f.array(*[row(position, field) for position, field in enumerate(schema.fields)])
