@@ -246,7 +246,6 @@ def stage_clean_register(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged_path=scratch(spark, "staged"),
         cleaned_path=scratch(spark, "cleaned"),
         table_name=_table_name(),
-        partition_by=["Year"],
     )
     jobs.run(spark, config)
     return spark.table(config.table_name).select(*CLEAN.names)

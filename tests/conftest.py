@@ -1,0 +1,83 @@
+import datetime as dt
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tripmetrics.schemas import STANDARD, ZONES  # noqa: E402
+from tripmetrics.session import get_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = get_session(
+        "tests",
+        {
+            "spark.master": "local[4]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(folder / "warehouse"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+GOOD_TRIP = {
+    "VendorID": 2,
+    "tpep_pickup_datetime": dt.datetime(2024, 3, 5, 18, 0, 0),
+    "tpep_dropoff_datetime": dt.datetime(2024, 3, 5, 18, 15, 0),
+    "passenger_count": 1,
+    "trip_distance": 2.0,
+    "RatecodeID": 1,
+    "store_and_fwd_flag": "N",
+    "PULocationID": 1,
+    "DOLocationID": 2,
+    "payment_type": 1,
+    "fare_amount": 10.0,
+    "extra": 1.0,
+    "mta_tax": 0.5,
+    "tip_amount": 2.0,
+    "tolls_amount": 0.0,
+    "improvement_surcharge": 0.3,
+    "total_amount": 13.8,
+    "congestion_surcharge": 2.5,
+    "Airport_fee": 0.0,
+    "cbd_congestion_fee": 0.0,
+}
+
+ZONE_ROWS = [
+    (1, "EWR", "Airport One", "EWR"),
+    (2, "Queens", "Bay", "Boro Zone"),
+    (3, "Manhattan", "Center", "Yellow Zone"),
+    (264, "Unknown", "N/A", "N/A"),
+    (265, "N/A", "Outside", "N/A"),
+]
+
+
+@pytest.fixture
+def make_trips(spark):
+    """Standard trips: the good trip with the given changes, one row per dict."""
+
+    def make(*changes):
+        rows = [tuple({**GOOD_TRIP, **change}[name] for name in STANDARD.names) for change in changes]
+        return spark.createDataFrame(rows, STANDARD)
+
+    return make
+
+
+@pytest.fixture
+def zones(spark):
+    return spark.createDataFrame(ZONE_ROWS, ZONES)
+
+
+def plan_of(df, final=False):
+    """Physical plan as text; ``final`` runs the query first so that it is the executed one."""
+    if final:
+        df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,76 @@
+from pyspark.sql import functions as f
+
+from tests.conftest import plan_of
+from tripmetrics.operators import broadcast_if_small, enrich, rename
+from tripmetrics.plans.jobs import clean
+from tripmetrics.schemas import CLEAN, ZONES
+
+
+def test_each_role_gets_its_own_zone(make_trips, zones):
+    row = enrich(rename(make_trips({"PULocationID": 1, "DOLocationID": 3})), zones).first()
+    assert (row.Pickup_Borough, row.Pickup_Zone, row.Pickup_Service_Zone) == ("EWR", "Airport One", "EWR")
+    assert (row.Dropoff_Borough, row.Dropoff_Zone) == ("Manhattan", "Center")
+
+
+def test_unknown_and_null_locations_keep_the_trip(make_trips, zones):
+    trips = make_trips({"PULocationID": 999}, {"PULocationID": None}, {"PULocationID": 264})
+    rows = enrich(rename(trips), zones).orderBy("Pickup_Location_ID").collect()
+    assert [row.Pickup_Borough for row in rows] == [None, "Unknown", None]
+    assert [row.Dropoff_Borough for row in rows] == ["Queens"] * 3
+
+
+def test_na_is_text(make_trips, zones):
+    row = enrich(rename(make_trips({"PULocationID": 265, "DOLocationID": 264})), zones).first()
+    assert (row.Pickup_Borough, row.Dropoff_Zone) == ("N/A", "N/A")
+
+
+def test_one_role_only(make_trips, zones):
+    names = enrich(rename(make_trips({})), zones, ("Dropoff",)).columns
+    assert "Dropoff_Zone" in names and "Pickup_Zone" not in names
+
+
+def test_cleaned_schema(make_trips, zones):
+    cleaned = clean(make_trips({}), zones)
+    assert cleaned.columns == CLEAN.names
+    assert [c.dataType for c in cleaned.schema] == [c.dataType for c in CLEAN]
+
+
+def test_hint_depends_on_the_measured_size(spark, zones):
+    hinted, plain = broadcast_if_small(zones), broadcast_if_small(zones, max_bytes=10)
+    assert "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
+    assert plain is zones
+
+
+def test_empty_dimension_is_small(spark, make_trips):
+    nothing = broadcast_if_small(spark.createDataFrame([], ZONES))
+    assert enrich(rename(make_trips({})), nothing).first().Pickup_Borough is None
+
+
+def zone_counts(df):
+    rows = df.groupBy("Pickup_Zone", "Dropoff_Zone").count().collect()
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_too_large_a_dimension_is_joined_by_shuffle_with_equal_result(spark, make_trips):
+    """One location holds most trips; the unhinted join must give the same rows."""
+    base = rename(make_trips({}))
+    trips = base.drop("Pickup_Location_ID").crossJoin(
+        spark.range(3000).select(
+            f.expr("CAST(if(id % 3 < 2, 3, id % 7) AS INT) AS Pickup_Location_ID")
+        )
+    )
+    dim = spark.createDataFrame([(i, f"b{i % 2}", f"z{i}", "s") for i in range(6)], ZONES)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    hinted = enrich(trips, broadcast_if_small(dim))
+    spark.conf.set(threshold, "-1")
+    spark.conf.set(adaptive, "-1")
+    try:
+        shuffled = enrich(trips, broadcast_if_small(dim, max_bytes=1))
+        assert "BroadcastHashJoin" not in plan_of(shuffled)
+        assert zone_counts(shuffled) == zone_counts(hinted)
+        assert shuffled.count() == 3000
+    finally:
+        spark.conf.set(threshold, before)
+        spark.conf.unset(adaptive)
