@@ -1,7 +1,8 @@
 import pytest
 
 from tests.conftest import ZONE_ROWS, plan_of
-from tripmetrics.schemas import STANDARD
+from tripmetrics.plans.jobs import clean
+from tripmetrics.schemas import CLEAN, STANDARD
 from tripmetrics.sources import (
     copy_parquet,
     load_year,
@@ -108,10 +109,28 @@ def test_registered_table_follows_its_files(spark, make_trips, tmp_path, partiti
     path = str(tmp_path / "it's here")
     name = "trips_parted" if partition_by else "trips_flat"
     write_table(make_trips({}), path, partition_by)
-    register_table(spark, name, path, partition_by)
+    register_table(spark, name, path, partition_by, STANDARD)
     assert spark.table(name).count() == 1
     write_table(make_trips({}, {"payment_type": 3}), path, partition_by)
-    register_table(spark, name, path, partition_by)
+    register_table(spark, name, path, partition_by, STANDARD)
     assert spark.table(name).count() == 2
+    assert spark.table(name).filter("payment_type = 3").count() == 1
     spark.sql(f"DROP TABLE {name}")
     assert spark.read.parquet(path).count() == 2  # external: the files stay
+
+
+def test_table_may_be_registered_before_its_files(spark, make_trips, zones, tmp_path):
+    path = str(tmp_path / "later")
+    register_table(spark, "early", path)
+    assert spark.table("early").columns == CLEAN.names
+    write_table(clean(make_trips({}), zones), path)
+    register_table(spark, "early", path)
+    assert spark.table("early").count() == 1
+    spark.sql("DROP TABLE early")
+
+
+def test_a_year_of_the_cleaned_table_reads_only_its_folder(spark, make_trips, zones, tmp_path):
+    path = str(tmp_path / "cleaned")
+    write_table(clean(make_trips({}), zones), path, ["Year"])
+    plan = plan_of(spark.read.parquet(path).filter("Year = 2024"))
+    assert "PartitionFilters: [isnotnull(Year" in plan

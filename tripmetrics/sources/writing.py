@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as f
+from pyspark.sql.types import StructType
+
+from tripmetrics.schemas import CLEAN
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
@@ -30,16 +33,25 @@ def copy_parquet(spark: SparkSession, source: str, target: str) -> int:
 
 
 def register_table(
-    spark: SparkSession, name: str, path: str, partition_by: list[str] | None = None
+    spark: SparkSession,
+    name: str,
+    path: str,
+    partition_by: list[str] | None = None,
+    schema: StructType = CLEAN,
 ) -> None:
     """Make the parquet files at ``path`` a SQL table, unless ``name`` exists already.
 
-    Registering again after an overwrite makes the new files visible.
+    The columns are declared, so no footer is read and the files may come later. Registering
+    again after an overwrite makes the new files visible.
     """
+    columns = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
+    partitions = ", ".join(f"`{column}`" for column in partition_by or [])
     spark.sql(
-        "CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) USING PARQUET LOCATION :path",
+        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING PARQUET "
+        + (f"PARTITIONED BY ({partitions}) " if partitions else "")
+        + "LOCATION :path",
         {"name": name, "path": path},
     )
-    if partition_by:
+    if partitions:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
