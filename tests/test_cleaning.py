@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as f
 
+from tripmetrics.functions import duration_minutes
 from tripmetrics.operators import (
     apply_rules,
     cleaning_report,
@@ -130,6 +132,14 @@ def test_duration_is_wall_clock_in_whole_seconds(spark, make_trips, start, end,
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_duration_is_the_rounded_quotient(spark):
+    seconds = spark.range(-100000, 100000).selectExpr(
+        "id", "TIMESTAMP_NTZ'2024-01-01' AS a", "timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01') AS b"
+    )
+    both = seconds.select(duration_minutes("a", "b").alias("x"), f.round(f.col("id") / 60, 2).alias("y"))
+    assert both.filter("x = y").count() == 200000
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "America/Sao_Paulo"])
 def test_date_parts_do_not_depend_on_the_zone(spark, make_trips, zone):
     moments = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2018, 11, 4, 0, 0), dt.datetime(2023, 12, 31, 23, 59, 59)]
