@@ -196,6 +196,8 @@ _MEANS = """round(avg(Trip_Distance_Km), 8) AS avg_km,
 _SPOT = "passenger_count = 0 OR trip_distance > 200 OR trip_duration_min > 120.1"
 _BOROUGHS = f"""{_FROM_CLEANED} SELECT Pickup_Borough, count(*) AS trip_count,
     round(avg(trip_distance_miles), 8) AS avg_distance FROM cleaned GROUP BY Pickup_Borough"""
+_REVENUE = f"""{_FROM_CLEANED} SELECT Year, Month, round(sum(total_amount), 2) AS revenue
+    FROM cleaned GROUP BY Year, Month"""
 _ALL_TRIPS = f"{_FROM_TRIPS} SELECT * FROM trips"
 
 ORACLE: dict[str, str] = {
@@ -207,6 +209,8 @@ ORACLE: dict[str, str] = {
     "sink_parquet_roundtrip": _CLEANED,
     "copy_parquet": "SELECT * FROM lineitem",
     "external_table_sql": _BOROUGHS,
+    "external_table_revenue_sql": _REVENUE,
+    "external_table_count_sql": f"{_FROM_CLEANED} SELECT count(*) AS row_count FROM cleaned",
     "standardize_schema": f"""{_FROM_TRIPS} SELECT * REPLACE
         (CAST(NULL AS DOUBLE) AS cbd_congestion_fee) FROM trips""",
     "add_missing_column": f"""{_FROM_TRIPS} SELECT * REPLACE (CAST(NULL AS DOUBLE) AS tolls_amount,
@@ -265,8 +269,7 @@ ORACLE: dict[str, str] = {
     "preview_limit": f"""{_CLEANED} ORDER BY
         {", ".join(f"{name} ASC NULLS LAST" for name in CLEAN.names)} LIMIT {PREVIEW_ROWS}""",
     "borough_summary": _BOROUGHS,
-    "monthly_revenue": f"""{_FROM_CLEANED} SELECT Year, Month, round(sum(total_amount), 2) AS revenue
-        FROM cleaned GROUP BY Year, Month""",
+    "monthly_revenue": _REVENUE,
     "kpi_totals": f"""{_FROM_CLEANED} SELECT count(*) AS trip_count,
         round(sum(total_amount), 2) AS revenue, {_MEANS} FROM cleaned""",
     "trips_by_hour": f"""{_FROM_CLEANED} SELECT CAST(hour(Trip_Pickup_DateTime) AS INTEGER)

@@ -8,7 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
 
-from checks.trip_frame import is_legacy, legacy_layout, raw_months, scratch, trips, zones
+from checks.trip_frame import (
+    is_legacy,
+    legacy_layout,
+    once,
+    raw_months,
+    scratch,
+    trips,
+    zones,
+)
 from tripmetrics import operators as op
 from tripmetrics.functions import code_label, kilometres, month_label
 from tripmetrics.plans import jobs, metrics
@@ -113,20 +121,47 @@ def _table_name() -> str:
     return f"cleaned_{uuid.uuid4().hex}"
 
 
-def external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, table = scratch(spark, "cleaned"), _table_name()
-    write_table(_cleaned(spark, sf_dir), path)
-    register_table(spark, table, path)
-    return spark.sql(
-        """
-        SELECT Pickup_Borough, count(*) AS trip_count,
-               round(avg(trip_distance_miles), 8) AS avg_distance
-        FROM IDENTIFIER(:table)
-        GROUP BY Pickup_Borough
-        ORDER BY trip_count DESC, Pickup_Borough NULLS LAST
-        """,
-        {"table": table},
-    )
+def _cleaned_table(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the cleaned table in the catalog, written once a session."""
+
+    def build() -> str:
+        path, table = scratch(spark, "cleaned"), _table_name()
+        write_table(_cleaned(spark, sf_dir), path)
+        register_table(spark, table, path)
+        return table
+
+    return once(spark, sf_dir, "cleaned_table", build)
+
+
+def _on_table(sql: str) -> Query:
+    """A query written as SQL on the registered table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.sql(sql, {"cleaned": _cleaned_table(spark, sf_dir)})
+
+    return query
+
+
+external_table_sql = _on_table(
+    """
+    SELECT Pickup_Borough, count(*) AS trip_count,
+           round(avg(trip_distance_miles), 8) AS avg_distance
+    FROM IDENTIFIER(:cleaned)
+    GROUP BY Pickup_Borough
+    ORDER BY trip_count DESC, Pickup_Borough NULLS LAST
+    """
+)
+
+external_table_revenue_sql = _on_table(
+    """
+    SELECT Year, Month, round(sum(total_amount), 2) AS revenue
+    FROM IDENTIFIER(:cleaned)
+    GROUP BY Year, Month
+    ORDER BY Year, Month
+    """
+)
+
+external_table_count_sql = _on_table("SELECT count(*) AS row_count FROM IDENTIFIER(:cleaned)")
 
 
 # Conforming and unions.
@@ -260,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "copy_parquet": copy_parquet_table,
     "external_table_sql": external_table_sql,
+    "external_table_revenue_sql": external_table_revenue_sql,
+    "external_table_count_sql": external_table_count_sql,
     "standardize_schema": standardize_schema,
     "add_missing_column": add_missing_column,
     "cast_columns": cast_columns,

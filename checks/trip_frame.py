@@ -80,7 +80,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
 
-    return _once(spark, sf_dir, "zones", build)
+    return once(spark, sf_dir, "zones", build)
 
 
 def is_legacy() -> Column:
@@ -134,7 +134,7 @@ def raw_months(spark: SparkSession, sf_dir: str) -> list[str]:
             ]
         return sorted(paths)
 
-    return _once(spark, sf_dir, "raw_months", build)
+    return once(spark, sf_dir, "raw_months", build)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -150,7 +150,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 _built: dict[tuple[str, str, str], object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], T]) -> T:
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], T]) -> T:
+    """``build()``, remembered for the running application and input folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _built:
         _built[key] = build()

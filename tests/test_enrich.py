@@ -74,3 +74,31 @@ def test_too_large_a_dimension_is_joined_by_shuffle_with_equal_result(spark, mak
     finally:
         spark.conf.set(threshold, before)
         spark.conf.unset(adaptive)
+
+
+def test_hot_location_is_split_when_the_join_shuffles(spark, make_trips):
+    """Two thirds of the trips start in one zone, more than half end in none."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    trips = spark.range(0, 200000, 1, 8).selectExpr(
+        "id",
+        "CAST(if(id % 3 < 2, 3, id % 97) AS INT) AS Pickup_Location_ID",
+        "CAST(if(id % 5 < 3, null, id % 89) AS INT) AS Dropoff_Location_ID",
+    )
+    dim = spark.createDataFrame([(i, "b", f"z{i}", "s") for i in range(90)], ZONES)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = enrich(trips, broadcast_if_small(dim, max_bytes=1))
+        assert plan_of(joined, final=True).count("SortMergeJoin(skew=true)") == 2
+        assert joined.count() == 200000
+        assert joined.filter("Pickup_Zone = 'z3'").count() == trips.filter("Pickup_Location_ID = 3").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -69,3 +69,14 @@ def test_top_k_does_not_sort_everything(staged, dim):
 
 def test_no_python_in_any_plan(staged, dim):
     assert "Python" not in plan_of(clean(staged, dim))
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, staged, dim, capsys):
+    """The JVM does not compile methods above 8000 bytes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        clean(staged, dim).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000

@@ -67,6 +67,13 @@ def test_zones_from_csv(spark, tmp_path):
     assert [tuple(row) for row in read_zones(spark, str(path)).collect()] == ZONE_ROWS
 
 
+def test_zones_with_another_header_are_refused(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("LocationID,Zone,Borough,service_zone\n1,Bay,Queens,Boro Zone")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_zones(spark, str(path)).collect()
+
+
 @pytest.mark.parametrize("partition_by", [None, ["payment_type"]])
 def test_write_returns_the_rows_written(spark, make_trips, tmp_path, partition_by):
     path = str(tmp_path / "out")

@@ -14,7 +14,10 @@ FOOTER_READERS = 16
 
 
 def month_paths(template: str, year: int, last_month: int) -> list[str]:
-    """Paths of months 1 to ``last_month``, e.g. of ``s3a://raw/{year}/{year}-{month:02d}.parquet``."""
+    """Paths of months 1 to ``last_month``.
+
+    The template names ``year`` and ``month``: ``s3a://raw/{year}/{year}-{month:02d}.parquet``.
+    """
     return [template.format(year=year, month=month) for month in range(1, last_month + 1)]
 
 
@@ -56,5 +59,8 @@ def read_staged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """The zone dimension from CSV with a header. ``N/A`` is text in it, not null."""
-    return spark.read.schema(ZONES).option("header", True).csv(path)
+    """The zone dimension from CSV with a header. ``N/A`` is text in it, not null.
+
+    The schema is declared, so the file is not read twice, and the header has to match it.
+    """
+    return spark.read.schema(ZONES).options(header=True, enforceSchema=False).csv(path)
