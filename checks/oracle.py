@@ -134,7 +134,13 @@ _FROM_RENAMED = _with(_TRIPS, _ZONES, _RENAMED)
 _FROM_PREPARED = _with(_TRIPS, _RENAMED, _PREPARED)
 _FROM_KEPT = _with(_TRIPS, _RENAMED, _PREPARED, _KEPT)
 _FROM_CLEANED = _with(
-    _TRIPS, _ZONES, _RENAMED, _PREPARED, _KEPT, _derived("tidy", "kept"), _enriched("cleaned", "tidy")
+    _TRIPS,
+    _ZONES,
+    _RENAMED,
+    _PREPARED,
+    _KEPT,
+    _derived("tidy", "kept"),
+    _enriched("cleaned", "tidy"),
 )
 _CLEAN_LIST = ", ".join(CLEAN.names)
 _CLEANED = f"{_FROM_CLEANED} SELECT {_CLEAN_LIST} FROM cleaned"
@@ -221,7 +227,8 @@ ORACLE: dict[str, str] = {
         CAST(trunc(l_extendedprice / 7 - 3000) AS BIGINT) AS passenger_count,
         CAST(l_linenumber AS DOUBLE) AS trip_distance FROM lineitem""",
     "conform_profile": _profile(),
-    "union_months": f"""{_FROM_TRIPS} SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
+    "union_months": f"""{_FROM_TRIPS} SELECT
+        CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
         CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
         count(*) AS trip_count, count(VendorID) AS vendor_count FROM trips GROUP BY 1, 2""",
     "standardize_union": _ALL_TRIPS,

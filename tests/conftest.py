@@ -65,7 +65,8 @@ def make_trips(spark):
     """Standard trips: the good trip with the given changes, one row per dict."""
 
     def make(*changes):
-        rows = [tuple({**GOOD_TRIP, **change}[name] for name in STANDARD.names) for change in changes]
+        trips = [{**GOOD_TRIP, **change} for change in changes]
+        rows = [tuple(trip[name] for name in STANDARD.names) for trip in trips]
         return spark.createDataFrame(rows, STANDARD)
 
     return make

@@ -13,6 +13,8 @@ from tripmetrics.schemas import BIGINT, INT, STANDARD, columns
 
 NAN = float("nan")
 AMOUNTS = [None, NAN, -0.01, 0.0, 0.5, 2.5]
+FILLED = ("fare_amount", "extra", "mta_tax", "cbd_congestion_fee")
+UNFILLED = ("Airport_fee", "total_amount", "improvement_surcharge")
 START = dt.datetime(2023, 12, 31, 23, 30)
 ZONES = {key: rest for key, *rest in ZONE_ROWS}
 
@@ -63,10 +65,10 @@ def expected(trips):
     mean = sum(tips) / len(tips)
     kept = {}
     for t in trips:
-        fill = {name: 0.0 if missing(t[name]) else t[name] for name in ("fare_amount", "extra", "mta_tax", "cbd_congestion_fee")}
+        fill = {name: 0.0 if missing(t[name]) else t[name] for name in FILLED}
         tip = mean if missing(t["tip_amount"]) else t["tip_amount"]
         minutes = round(t["seconds"] / 60 + 1e-12, 2)
-        amounts = [*fill.values(), tip, t["Airport_fee"], t["total_amount"], t["improvement_surcharge"]]
+        amounts = [*fill.values(), tip, *[t[name] for name in UNFILLED]]
         pickup, dropoff = t["PULocationID"], t["DOLocationID"]
         if (
             between(t["passenger_count"], 1, 6)

@@ -24,7 +24,8 @@ NAN = float("nan")
 
 
 def after(seconds):
-    return {"tpep_pickup_datetime": START, "tpep_dropoff_datetime": START + dt.timedelta(seconds=seconds)}
+    end = START + dt.timedelta(seconds=seconds)
+    return {"tpep_pickup_datetime": START, "tpep_dropoff_datetime": end}
 
 
 KEPT = [
@@ -134,15 +135,22 @@ def test_duration_is_wall_clock_in_whole_seconds(spark, make_trips, start, end,
 
 def test_duration_is_the_rounded_quotient(spark):
     seconds = spark.range(-100000, 100000).selectExpr(
-        "id", "TIMESTAMP_NTZ'2024-01-01' AS a", "timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01') AS b"
+        "id",
+        "TIMESTAMP_NTZ'2024-01-01' AS a",
+        "timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01') AS b",
     )
-    both = seconds.select(duration_minutes("a", "b").alias("x"), f.round(f.col("id") / 60, 2).alias("y"))
+    rounded = f.round(f.col("id") / 60, 2).alias("y")
+    both = seconds.select(duration_minutes("a", "b").alias("x"), rounded)
     assert both.filter("x = y").count() == 200000
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "America/Sao_Paulo"])
 def test_date_parts_do_not_depend_on_the_zone(spark, make_trips, zone):
-    moments = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2018, 11, 4, 0, 0), dt.datetime(2023, 12, 31, 23, 59, 59)]
+    moments = [
+        dt.datetime(2024, 3, 10, 2, 30),
+        dt.datetime(2018, 11, 4, 0, 0),
+        dt.datetime(2023, 12, 31, 23, 59, 59),
+    ]
     trips = make_trips(*[{"tpep_pickup_datetime": moment} for moment in moments])
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
@@ -170,9 +178,9 @@ def test_no_tip_at_all_leaves_nulls_and_keeps_nothing(make_trips):
 
 
 def test_defaults(make_trips):
-    nothing = dict.fromkeys(
-        ("VendorID", "RatecodeID", "store_and_fwd_flag", "fare_amount", "extra", "mta_tax", "cbd_congestion_fee", "tolls_amount")
-    )
+    codes = ("VendorID", "RatecodeID", "store_and_fwd_flag")
+    amounts = ("fare_amount", "extra", "mta_tax", "cbd_congestion_fee", "tolls_amount")
+    nothing = dict.fromkeys(codes + amounts)
     row = fill_defaults(rename(make_trips(nothing))).first()
     assert (row.Vendor_ID, row.Ratecode_ID, row.store_and_fwd_flag) == (99, 99, "Unknown")
     assert (row.fare_amount, row.extra_charges, row.mta_tax, row.cbd_congestion_fee) == (0, 0, 0, 0)

@@ -41,6 +41,15 @@ def test_hint_depends_on_the_measured_size(spark, zones):
     assert plain is zones
 
 
+def test_size_counts_text_rows_and_fields(spark):
+    dim = spark.createDataFrame([(1, "abc"), (2, None)], "`a.b` int, t string")
+    exactly = 2 * (32 + 16) + 3
+    assert broadcast_if_small(dim, exactly) is not dim
+    assert broadcast_if_small(dim, exactly - 1) is dim
+    nested = spark.createDataFrame([(1, ["x"])], "id int, names array<string>")
+    assert broadcast_if_small(nested) is nested
+
+
 def test_empty_dimension_is_small(spark, make_trips):
     nothing = broadcast_if_small(spark.createDataFrame([], ZONES))
     assert enrich(rename(make_trips({})), nothing).first().Pickup_Borough is None

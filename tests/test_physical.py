@@ -4,11 +4,12 @@ import re
 
 import pytest
 
+from checks.trip_frame import legacy_layout
 from tests.conftest import plan_of
 from tripmetrics.operators import broadcast_if_small
 from tripmetrics.plans import metrics
 from tripmetrics.plans.jobs import clean, tidy
-from tripmetrics.sources import read_staged, read_zones, write_table
+from tripmetrics.sources import read_months, read_staged, read_zones, write_table
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +53,17 @@ def test_filters_and_columns_reach_the_scan(staged, dim, capsys):
     assert "store_and_fwd_flag" not in plan
 
 
+def test_filters_go_below_the_union_of_layouts(spark, make_trips, tmp_path, capsys):
+    """Cleaning straight from raw files filters in each layout's scan."""
+    legacy_layout(make_trips({})).write.parquet(f"{tmp_path}/old")
+    make_trips({}).write.parquet(f"{tmp_path}/new")
+    raw = read_months(spark, [f"{tmp_path}/old", f"{tmp_path}/new"])
+    tidy(raw).explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = re.findall(r"PushedFilters: \[(.*trip_distance,200.0.*)\]", plan)
+    assert len(pushed) == 2 and all("total_amount,0.0" in p for p in pushed)
+
+
 def test_the_mean_reads_one_column(staged):
     plan = tidy(staged)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<tip_amount:double>" in plan

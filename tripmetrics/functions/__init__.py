@@ -9,4 +9,11 @@ from tripmetrics.functions.expressions import (
     without_nan,
 )
 
-__all__ = ["code_label", "duration_minutes", "fitting_cast", "kilometres", "month_label", "without_nan"]
+__all__ = [
+    "code_label",
+    "duration_minutes",
+    "fitting_cast",
+    "kilometres",
+    "month_label",
+    "without_nan",
+]

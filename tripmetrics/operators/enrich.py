@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
-from pyspark.sql.types import StringType
+from pyspark.sql.types import AtomicType, BinaryType, StringType, StructField
 
 ROLES = ("Pickup", "Dropoff")
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_BYTES = 32  # what a row costs in a hash table besides its fields
+FIELD_BYTES = 16  # the widest field of fixed size
 
 
 def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -17,15 +22,20 @@ def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Data
     Meant for a dimension that is itself the result of a query, whose size the optimizer
     can only guess; for a plain file its own threshold on the file size is enough. The
     measurement is one aggregate over ``dim`` (an action). Above the limit ``dim`` comes
-    back unhinted and the join shuffles; adaptive execution then splits hot keys.
+    back unhinted and the join shuffles; adaptive execution then splits hot keys. So does a
+    dimension with nested columns, whose size is not measured.
     """
+    if not all(isinstance(field.dataType, AtomicType) for field in dim.schema):
+        return dim
+    row_bytes = reduce(add, [_width(field) for field in dim.schema], f.lit(ROW_BYTES))
+    size = dim.agg(f.coalesce(f.sum(row_bytes), f.lit(0)).alias("bytes")).first()["bytes"]
+    return f.broadcast(dim) if size <= max_bytes else dim
 
-    def width(name: str, is_text: bool) -> Column:
-        return f.coalesce(f.octet_length(name), f.lit(0)) if is_text else f.lit(8)
 
-    per_row = [width(field.name, isinstance(field.dataType, StringType)) for field in dim.schema]
-    size = dim.agg(f.sum(sum(per_row[1:], per_row[0])).alias("bytes")).first()["bytes"] or 0
-    return f.broadcast(dim) if size <= max_bytes else dim
+def _width(field: StructField) -> Column:
+    if isinstance(field.dataType, (StringType, BinaryType)):
+        return f.coalesce(f.octet_length(f.col(f"`{field.name}`")), f.lit(0))
+    return f.lit(FIELD_BYTES)
 
 
 def left_join_dimension(facts: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
