@@ -14,7 +14,7 @@ trips AS (
     l_shipdate + to_seconds(trunc(l_extendedprice)) AS tpep_pickup_datetime,
     l_shipdate + to_seconds(trunc(l_extendedprice * 1.08::DOUBLE - 100))
       AS tpep_dropoff_datetime,
-    NULLIF(l_partkey % 9, 8) AS passenger_count,
+    l_partkey % 9 AS passenger_count,
     l_quantity * 4.07::DOUBLE AS trip_distance,
     NULLIF(l_suppkey % 9, 0) AS RatecodeID,
     NULLIF(l_returnflag, 'R') AS store_and_fwd_flag,
@@ -25,8 +25,8 @@ trips AS (
     0.09::DOUBLE - NULLIF(l_discount, 0.05::DOUBLE) AS extra,
     l_tax - 0.01::DOUBLE AS mta_tax,
     NULLIF(l_quantity, 13) - 2 AS tip_amount,
-    CAST(NULLIF(l_linenumber, 1) - 2 AS DOUBLE) AS tolls_amount,
-    CAST(NULLIF(l_suppkey % 13, 3) - 1 AS DOUBLE) AS improvement_surcharge,
+    CAST(l_linenumber - 2 AS DOUBLE) AS tolls_amount,
+    CAST(l_suppkey % 13 - 1 AS DOUBLE) AS improvement_surcharge,
     CASE WHEN l_linenumber <> 4 THEN l_extendedprice - l_discount * 200000 END AS total_amount,
     CAST(NULLIF(l_linenumber, 6) - 3 AS DOUBLE) AS congestion_surcharge,
     NULLIF(l_discount, 0.07::DOUBLE) - 0.01::DOUBLE AS Airport_fee,

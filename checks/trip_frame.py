@@ -30,7 +30,7 @@ _TRIP_COLUMNS = {
     "tpep_dropoff_datetime": (
         "timestampadd(SECOND, CAST(l_extendedprice * 1.08D - 100 AS BIGINT), l_shipdate)"
     ),
-    "passenger_count": "nullif(l_partkey % 9, 8)",
+    "passenger_count": "l_partkey % 9",
     "trip_distance": "l_quantity * 4.07D",
     "RatecodeID": "nullif(l_suppkey % 9, 0)",
     "store_and_fwd_flag": "nullif(l_returnflag, 'R')",
@@ -41,10 +41,10 @@ _TRIP_COLUMNS = {
     "extra": "0.09D - nullif(l_discount, 0.05D)",
     "mta_tax": "l_tax - 0.01D",
     "tip_amount": "nullif(l_quantity, 13) - 2",
-    "tolls_amount": "CAST(nullif(l_linenumber, 1) AS DOUBLE) - 2",
-    "improvement_surcharge": "CAST(nullif(l_suppkey % 13, 3) AS DOUBLE) - 1",
+    "tolls_amount": "l_linenumber - 2D",
+    "improvement_surcharge": "l_suppkey % 13 - 1D",
     "total_amount": "CASE WHEN l_linenumber <> 4 THEN l_extendedprice - l_discount * 200000 END",
-    "congestion_surcharge": "CAST(nullif(l_linenumber, 6) AS DOUBLE) - 3",
+    "congestion_surcharge": "nullif(l_linenumber, 6) - 3D",
     "Airport_fee": "nullif(l_discount, 0.07D) - 0.01D",
     "cbd_congestion_fee": f"CASE WHEN year(l_shipdate) >= {DRIFT_YEAR} THEN 0.07D - l_tax END",
 }
