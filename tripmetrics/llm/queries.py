@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
 
-from tripmetrics.llm import bpe, packing
+from tripmetrics.llm import bpe, exact_dedup, packing, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document."""
+    return exact_dedup.deduplicate(documents(spark, sf_dir)).drop("row_no")
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, placed in a sequence."""
     return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS))
@@ -38,7 +48,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": """
+        WITH normalised AS (
+          SELECT doc_id,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+          doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+        FROM normalised WINDOW same AS (PARTITION BY norm)""",
+}
