@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
 
-from tripmetrics.llm import bpe, exact_dedup, packing, simhash
+from tripmetrics.llm import bpe, exact_dedup, language, packing, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = documents(spark, sf_dir)
+    texts = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.predict(texts, language.fit_documents(docs)).drop("text")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, placed in a sequence."""
     return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS))
@@ -50,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
