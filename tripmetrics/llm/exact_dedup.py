@@ -47,21 +47,21 @@ def ambiguous(texts: DataFrame, identify: Identify) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
-    """Per document: doc_id, keep_id, group_size, kept, text_sha256 (and ``row_no``).
+    """Per document: doc_id, keep_id, group_size, kept, text_sha256 (and ``__row``).
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty, and empty
     texts equal each other. The row with the largest doc_id stays (null is the smallest; of
-    repeated doc_ids the last row by number), one row a group. ``row_no`` is the column of that
+    repeated doc_ids the last row by number), one row a group. ``__row`` is the column of that
     name if ``docs`` has one, else a number given here. Other columns are not read. An empty
     table gives an empty result.
 
     ``identify`` maps a chunk to a cheap identifier. If any identifier stands for two chunks,
     SHA-256 identifiers are used for all of them instead.
     """
-    row_no = "row_no" if "row_no" in docs.columns else f.monotonically_increasing_id()
+    row_no = "__row" if "__row" in docs.columns else f.monotonically_increasing_id()
     texts = docs.select(
         f.col("doc_id"),
-        (f.col(row_no) if isinstance(row_no, str) else row_no).alias("row_no"),
+        (f.col(row_no) if isinstance(row_no, str) else row_no).alias("__row"),
         normalised("text").alias("norm"),
     )
     verified = identify
@@ -70,7 +70,7 @@ def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
     recipes = store(
         texts.select(
             "doc_id",
-            "row_no",
+            "__row",
             f.sha2("norm", 256).alias("text_sha256"),
             f.transform(chunks(f.col("norm")), lambda chunk: verified(chunk)).alias("recipe"),
         ),
@@ -81,7 +81,7 @@ def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
     groups = (
         recipes.groupBy("recipe")
         .agg(
-            f.max(f.struct(f.col("doc_id"), f.col("row_no"))).alias("keep"),
+            f.max(f.struct(f.col("doc_id"), f.col("__row"))).alias("keep"),
             f.count("*").alias("group_size"),
         )
         .filter("group_size > 1")
@@ -92,14 +92,14 @@ def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
         .otherwise(f.col("keep.doc_id"))
         .alias("keep_id"),
         f.coalesce("group_size", f.lit(1)).cast("bigint").alias("group_size"),
-        (f.col("keep").isNull() | (f.col("keep.row_no") == f.col("row_no"))).alias("kept"),
+        (f.col("keep").isNull() | (f.col("keep.__row") == f.col("__row"))).alias("kept"),
         "text_sha256",
-        "row_no",
+        "__row",
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay; all its columns."""
-    numbered = store(docs.withColumn("row_no", f.monotonically_increasing_id()), "numbered")
-    kept = deduplicate(numbered).filter("kept").select("row_no")
-    return numbered.join(kept, "row_no", "left_semi").select(*docs.columns)
+    numbered = store(docs.withColumn("__row", f.monotonically_increasing_id()), "numbered")
+    kept = deduplicate(numbered).filter("kept").select("__row")
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)

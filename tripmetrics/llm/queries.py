@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
 
-from tripmetrics.llm import bpe, exact_dedup, language, packing, simhash
+from tripmetrics.llm import bpe, exact_dedup, language, packing, pii, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -53,12 +53,30 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.detect(docs, pii.fit(docs)).drop("text")
+    kinds = f.transform("base_spans", lambda s: s.kind)
+    counts = [
+        (f.size(kinds) - f.size(f.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        f.sha2(pii.listed("base_spans"), 256).alias("base_sha256"),
+        pii.listed("all_spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE: dict[str, str] = {

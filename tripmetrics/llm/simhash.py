@@ -51,7 +51,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, row_no (if there) and ``fp``, the fingerprint as a signed 64-bit integer."""
+    """doc_id, __row (if there) and ``fp``, the fingerprint as a signed 64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 [*(batch.column(c) for c in kept), column], names=[*kept, "fp"]
             )
 
-    docs = docs.select("doc_id", *(c for c in docs.columns if c == "row_no"), "text")
+    docs = docs.select("doc_id", *(c for c in docs.columns if c == "__row"), "text")
     return docs.mapInArrow(run, docs.drop("text").withColumn("fp", f.lit(0).cast("bigint")).schema)
 
 
@@ -209,7 +209,7 @@ def links(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shard: int = SHARD) -> DataFrame:
-    """Per document: doc_id, fingerprint, component_id (and row_no, if ``docs`` has it).
+    """Per document: doc_id, fingerprint, component_id (and __row, if ``docs`` has it).
 
     A-Z counts as lower case; words are separated by ASCII white space; a text of fewer words
     than a shingle is one shingle; null, empty and blank texts have fingerprint zero and are
@@ -229,19 +229,19 @@ def near_duplicates(docs: DataFrame, shard: int = SHARD) -> DataFrame:
         "doc_id",
         f.lower(f.lpad(f.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
-        *(c for c in prints.columns if c == "row_no"),
+        *(c for c in prints.columns if c == "__row"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component: the smallest doc_id (nulls last), of repeated ones the
     first row. All columns of ``docs``."""
-    numbered = store(docs.withColumn("row_no", f.monotonically_increasing_id()), "numbered")
+    numbered = store(docs.withColumn("__row", f.monotonically_increasing_id()), "numbered")
     prints = store(near_duplicates(numbered), "components")
-    order = f.struct(f.col("doc_id").isNull(), f.col("doc_id"), f.col("row_no"))
+    order = f.struct(f.col("doc_id").isNull(), f.col("doc_id"), f.col("__row"))
     # a component is known by its id; those without any doc_id by their fingerprint
     group = ["component_id", f.when(f.col("component_id").isNull(), f.col("fingerprint"))]
     kept = prints.groupBy(*group).agg(f.min(order).alias("first"))
     return numbered.join(
-        kept.select(f.col("first.row_no").alias("row_no")), "row_no", "left_semi"
+        kept.select(f.col("first.__row").alias("__row")), "__row", "left_semi"
     ).select(*docs.columns)
