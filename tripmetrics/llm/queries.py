@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
 
-from tripmetrics.llm import bpe, exact_dedup, language, packing, pii, simhash
+from tripmetrics.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    licenses,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+)
+from tripmetrics.llm.oracle import ORACLE
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -33,7 +44,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
-    return exact_dedup.deduplicate(documents(spark, sf_dir)).drop("row_no")
+    return exact_dedup.deduplicate(documents(spark, sf_dir)).drop("__row")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,11 +59,35 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(texts, language.fit_documents(docs)).drop("text")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every document."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, placed in a sequence."""
     return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict for every document."""
+    return quality.assess(documents(spark, sf_dir)).drop("clean_text")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of secrets in every document."""
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs, secrets.fit(docs))
+    return found.select(
+        "doc_id",
+        "n_candidates",
+        f.size("secrets").cast("bigint").alias("n_secrets"),
+        f.array_join(
+            f.transform("secrets", lambda s: f.concat_ws(":", s.start, s.end)), ","
+        ).alias("spans"),
+    )
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -75,18 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
 }
-
-ORACLE: dict[str, str] = {
-    "op2_exact_dedup": """
-        WITH normalised AS (
-          SELECT doc_id,
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                      'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
-        )
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-          doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
-        FROM normalised WINDOW same AS (PARTITION BY norm)""",
-}
