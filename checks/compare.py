@@ -7,7 +7,7 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracle import ORACLE
 from checks.registry import QUERIES
@@ -27,14 +27,19 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 
 
 def difference(spark: SparkSession, engine, sf_dir: str, name: str) -> str | None:
     """What differs for one query as a bag of typed rows, or None."""
-    frame = QUERIES[name](spark, sf_dir)
-    engine.execute(f"CREATE OR REPLACE TEMP TABLE expected AS {ORACLE[name]}")
+    return frame_difference(QUERIES[name](spark, sf_dir), engine, ORACLE[name])
+
+
+def frame_difference(frame: DataFrame, engine, sql: str) -> str | None:
+    """What differs between a frame and a SQL text."""
+    engine.execute(f"CREATE OR REPLACE TEMP TABLE expected AS {sql}")
     described = engine.execute("SELECT * FROM expected LIMIT 0").description
     expected_types = {column[0]: str(column[1]) for column in described}
     types = {field.name: TYPES[field.dataType.simpleString()] for field in frame.schema}
