@@ -159,7 +159,8 @@ def fit(
         idf[bucket] = np.log((1 + total) / (1 + n)) + 1
     # Far fewer rows than the limit are then left for the window to order, even for the largest
     # language; and rows that repeat are cut by it before they move.
-    sizes = labelled.groupBy("lang").count().withColumnRenamed("count", "rows")
+    # Stored, the sizes are a small side of known size: no row moves for their join.
+    sizes = store(labelled.groupBy("lang").agg(f.count("*").alias("rows")), "language_sizes")
     lot = f.pmod(f.xxhash64("doc_id"), f.lit(1 << 30)) / float(1 << 30)
     drawn = (
         labelled.select("doc_id", "lang", lot.alias("lot"))

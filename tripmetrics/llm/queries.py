@@ -18,8 +18,10 @@ from tripmetrics.llm import (
     quality,
     secrets,
     simhash,
+    warc,
 )
 from tripmetrics.llm.oracle import ORACLE
+from tripmetrics.sources.shared import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -47,6 +49,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir)).drop("__row")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    path = shared_path(spark, "archives")
+    warc.write_archives(warc.page_records(pages), path)
+    return warc.page_rows(warc.read_archives(spark, path))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
@@ -108,6 +118,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_warc": op3_warc,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_license_scan": op6_license_scan,
