@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.registry import PREVIEW_ROWS, TOP_ZONES
+from checks.registry import LAST_MONTH, PREVIEW_ROWS, TOP_ZONES
 from checks.trip_frame import DRIFT_YEAR
 from tripmetrics.schemas import CLEAN, STANDARD
 
@@ -18,8 +18,8 @@ trips AS (
     l_quantity * 4.07::DOUBLE AS trip_distance,
     NULLIF(l_suppkey % 9, 0) AS RatecodeID,
     NULLIF(l_returnflag, 'R') AS store_and_fwd_flag,
-    CAST(l_orderkey % 25 AS INTEGER) AS PULocationID,
-    CAST(l_partkey % 25 AS INTEGER) AS DOLocationID,
+    CAST(l_orderkey % 27 AS INTEGER) AS PULocationID,
+    CAST(l_partkey % 27 AS INTEGER) AS DOLocationID,
     l_partkey % 8 AS payment_type,
     CASE WHEN l_linenumber <> 7 THEN l_extendedprice - 5000 END AS fare_amount,
     0.09::DOUBLE - NULLIF(l_discount, 0.05::DOUBLE) AS extra,
@@ -40,7 +40,6 @@ zones AS (
          CASE n_nationkey % 3 WHEN 0 THEN 'Yellow Zone' WHEN 1 THEN 'Boro Zone'
               ELSE 'Airports' END AS service_zone
   FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey <> 24
 )"""
 
 _RENAMED = """
@@ -178,6 +177,37 @@ def _profile() -> str:
         FROM ({" UNION ALL ".join(selects)})"""
 
 
+_EACH_RULE = {
+    "passenger_count_range": "passenger_count BETWEEN 1 AND 6",
+    "trip_distance_range": "trip_distance BETWEEN 0.1 AND 200",
+    "distinct_zones": "Pickup_Location_ID <> Dropoff_Location_ID",
+    **{
+        f"{name}_not_negative": f"{name} >= 0"
+        for name in (
+            "cbd_congestion_fee",
+            "Airport_fee",
+            "total_amount",
+            "tip_amount",
+            "fare_amount",
+            "extra_charges",
+            "improvement_surcharge",
+            "mta_tax",
+        )
+    },
+    "trip_duration_min_range": "trip_duration_min BETWEEN 0.01 AND 120.1",
+}
+
+
+def _rejects() -> str:
+    fails = {name: f"(({rule}) IS NOT TRUE)::INT" for name, rule in _EACH_RULE.items()}
+    total = " + ".join(fails.values())
+    return f"""{_FROM_PREPARED} SELECT * FROM ({" UNION ALL ".join(
+        f"SELECT '{name}' AS rule, CAST(sum({fail}) AS BIGINT) AS failing, "
+        f"count(*) FILTER (WHERE {fail} = 1 AND {total} = 1) AS failing_only FROM prepared"
+        for name, fail in fails.items()
+    )})"""
+
+
 def _share(key: str, extra: str = "") -> str:
     return f"""{_FROM_CLEANED} SELECT {key}, count(*) AS trip_count,
         100.0::DOUBLE * count(*) / (SELECT count(*) FROM cleaned) AS share_pct
@@ -209,6 +239,19 @@ _ALL_TRIPS = f"{_FROM_TRIPS} SELECT * FROM trips"
 ORACLE: dict[str, str] = {
     "scan_parquet_months": _ALL_TRIPS,
     "scan_parquet": _ALL_TRIPS,
+    "scan_year_folder": _ALL_TRIPS,
+    "scan_year_months": f"""{_ALL_TRIPS} WHERE year(tpep_pickup_datetime) = {DRIFT_YEAR}
+        AND month(tpep_pickup_datetime) <= {LAST_MONTH}""",
+    "write_counts": f"""{_FROM_CLEANED} SELECT output, n AS rows_reported, n AS rows_stored FROM (
+        SELECT 'staged' AS output, count(*) AS n FROM trips
+        UNION ALL SELECT 'cleaned', count(*) FROM cleaned
+        UNION ALL SELECT 'copied', count(*) FROM lineitem)""",
+    "external_table_rerun": _CLEANED,
+    "cast_decimals": """SELECT CASE WHEN l_partkey < 1000 THEN CAST(l_partkey AS DOUBLE) END
+        AS small, CASE WHEN l_orderkey < 2 THEN CAST(l_orderkey * 4611686018427387904::HUGEINT
+        AS BIGINT) END AS large FROM lineitem""",
+    "mean_without_nan": f"{_FROM_TRIPS} SELECT avg(tip_amount) AS mean_tip_amount FROM trips",
+    "rule_rejects": _rejects(),
     "scan_csv_dimension": f"""{_with(_TRIPS, _ZONES)} SELECT zones.*, pickups FROM zones
         LEFT JOIN (SELECT PULocationID, count(*) AS pickups FROM trips GROUP BY PULocationID)
         ON LocationID = PULocationID""",

@@ -7,14 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as f
+from pyspark.sql.types import DecimalType
 
 from checks.trip_frame import (
+    DRIFT_YEAR,
     is_legacy,
     legacy_layout,
     once,
-    raw_months,
-    scratch,
+    raw_root,
     trips,
+    year_template,
     zones,
 )
 from tripmetrics import operators as op
@@ -33,15 +35,18 @@ from tripmetrics.schemas import (
 )
 from tripmetrics.sources import (
     copy_parquet,
+    load_year,
     read_months,
     read_table,
     read_zones,
     register_table,
+    shared_path,
     write_table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LAST_MONTH = 10
 PREVIEW_ROWS = 10
 TOP_ZONES = 5
 
@@ -83,18 +88,27 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks.
 
 
+def scan_year_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_months(spark, [raw_root(spark, sf_dir)])
+
+
 def scan_parquet_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_months(spark, raw_months(spark, sf_dir))
+    root = raw_root(spark, sf_dir)
+    return read_months(spark, [f"{root}/current", f"{root}/legacy"])
+
+
+def scan_year_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_year(spark, year_template(spark, sf_dir, DRIFT_YEAR), DRIFT_YEAR, LAST_MONTH)
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "staged")
-    jobs.stage(spark, raw_months(spark, sf_dir), path)
+    path = shared_path(spark, "staged")
+    jobs.stage(spark, [raw_root(spark, sf_dir)], path)
     return read_table(spark, path)
 
 
 def _zones_csv(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch(spark, "zones")
+    path = shared_path(spark, "zones")
     zones(spark, sf_dir).write.option("header", True).csv(path)
     return path
 
@@ -106,13 +120,33 @@ def scan_csv_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "cleaned")
+    path = shared_path(spark, "cleaned")
     write_table(_cleaned(spark, sf_dir), path, ["Year"])
-    return read_table(spark, path).select(*CLEAN.names)
+    return read_table(spark, path, CLEAN)
+
+
+def write_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writes report, next to what is then there."""
+    staged, cleaned, copy = (shared_path(spark, name) for name in ("staged", "cleaned", "copy"))
+    reported = {
+        staged: ("staged", jobs.stage(spark, [raw_root(spark, sf_dir)], staged)),
+        cleaned: ("cleaned", write_table(_cleaned(spark, sf_dir), cleaned, ["Year"])),
+        copy: ("copied", copy_parquet(spark, f"{sf_dir}/lineitem.parquet", copy)),
+    }
+    return op.union_all(
+        [
+            read_table(spark, path).agg(
+                f.lit(what).alias("output"),
+                f.lit(rows).cast("bigint").alias("rows_reported"),
+                f.count("*").alias("rows_stored"),
+            )
+            for path, (what, rows) in reported.items()
+        ]
+    )
 
 
 def copy_parquet_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "copy")
+    path = shared_path(spark, "copy")
     copy_parquet(spark, f"{sf_dir}/lineitem.parquet", path)
     return read_table(spark, path)
 
@@ -125,7 +159,7 @@ def _cleaned_table(spark: SparkSession, sf_dir: str) -> str:
     """Name of the cleaned table in the catalog, written once a session."""
 
     def build() -> str:
-        path, table = scratch(spark, "cleaned"), _table_name()
+        path, table = shared_path(spark, "cleaned"), _table_name()
         write_table(_cleaned(spark, sf_dir), path)
         register_table(spark, table, path)
         return table
@@ -164,6 +198,17 @@ external_table_revenue_sql = _on_table(
 external_table_count_sql = _on_table("SELECT count(*) AS row_count FROM IDENTIFIER(:cleaned)")
 
 
+def external_table_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered flat, written again in folders by year, registered again."""
+    path, table = shared_path(spark, "cleaned"), _table_name()
+    cleaned = _cleaned(spark, sf_dir)
+    write_table(cleaned.filter("Year < 1999"), path)
+    register_table(spark, table, path)
+    write_table(cleaned, path, ["Year"])
+    register_table(spark, table, path, ["Year"], replace=True)
+    return spark.table(table).select(*CLEAN.names)
+
+
 # Conforming and unions.
 
 
@@ -184,6 +229,24 @@ def cast_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.conform(lineitem, WIDE_CASTS)
 
 
+def cast_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals from and to other numbers; what does not fit is null."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        f.col("l_partkey").alias("small"),
+        (f.col("l_orderkey").cast("decimal(38,0)") * 4611686018427387904).alias("large"),
+    )
+    target = columns(small=DecimalType(5, 2), large=BIGINT)
+    fitted = op.conform(lineitem, target)
+    return fitted.withColumn("small", f.col("small").cast("double"))
+
+
+def mean_without_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    holed = trips(spark, sf_dir).withColumn(
+        "tip_amount", f.coalesce("tip_amount", f.lit(float("nan")))
+    )
+    return metrics.global_mean(holed, "tip_amount")
+
+
 def _halves(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     standard = trips(spark, sf_dir)
     return {
@@ -203,7 +266,7 @@ def standardize_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     pickup = "tpep_pickup_datetime"
-    months = read_months(spark, raw_months(spark, sf_dir)).groupBy(
+    months = read_months(spark, [raw_root(spark, sf_dir)]).groupBy(
         f.year(pickup).alias("pickup_year"), f.month(pickup).alias("pickup_month")
     )
     return months.agg(
@@ -276,10 +339,10 @@ def _labelled(code: str, labels: dict[int, str]) -> Query:
 
 def stage_clean_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = jobs.JobConfig(
-        raw_paths=raw_months(spark, sf_dir),
+        raw_paths=[raw_root(spark, sf_dir)],
         zones_path=_zones_csv(spark, sf_dir),
-        staged_path=scratch(spark, "staged"),
-        cleaned_path=scratch(spark, "cleaned"),
+        staged_path=shared_path(spark, "staged"),
+        cleaned_path=shared_path(spark, "cleaned"),
         table_name=_table_name(),
     )
     jobs.run(spark, config)
@@ -291,13 +354,18 @@ MEANS = {"avg_km": 8, "avg_minutes": 8, "avg_tip": 8}
 QUERIES: dict[str, Query] = {
     "scan_parquet_months": scan_parquet_months,
     "scan_parquet": scan_parquet,
+    "scan_year_folder": scan_year_folder,
+    "scan_year_months": scan_year_months,
     "scan_csv_dimension": scan_csv_dimension,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "copy_parquet": copy_parquet_table,
+    "write_counts": write_counts,
     "external_table_sql": external_table_sql,
     "external_table_revenue_sql": external_table_revenue_sql,
     "external_table_count_sql": external_table_count_sql,
+    "external_table_rerun": external_table_rerun,
     "standardize_schema": standardize_schema,
+    "cast_decimals": cast_decimals,
     "add_missing_column": add_missing_column,
     "cast_columns": cast_columns,
     "conform_profile": conform_profile,
@@ -334,6 +402,8 @@ QUERIES: dict[str, Query] = {
     "global_mean": lambda spark, d: metrics.global_mean(trips(spark, d), "tip_amount"),
     "row_count": lambda spark, d: metrics.row_count(trips(spark, d)),
     "cleaning_report": lambda spark, d: op.cleaning_report(_prepared(spark, d), op.trip_rules()),
+    "rule_rejects": lambda spark, d: op.rule_rejects(_prepared(spark, d), op.trip_rules()),
+    "mean_without_nan": mean_without_nan,
     "preview_limit": lambda spark, d: metrics.preview(_cleaned(spark, d), PREVIEW_ROWS),
     "borough_summary": lambda spark, d: _rounded(
         metrics.borough_summary(_with_zone(spark, d, "Pickup")), avg_distance=8

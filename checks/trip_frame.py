@@ -2,13 +2,11 @@
 
 One trip per ``lineitem`` row and nothing else, so deriving trips is one scan without a
 shuffle: a query on them costs what it would cost on a trip file. Zones are nations with
-their region. Nation 24 is left out, so some locations are unknown.
+their region; trips also go to two locations that no nation has.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
@@ -17,7 +15,7 @@ from pyspark.sql import functions as f
 
 from tripmetrics.operators import broadcast_if_small
 from tripmetrics.schemas import STANDARD
-from tripmetrics.sources import write_table
+from tripmetrics.sources import month_paths, shared_path, write_table
 
 DRIFT_YEAR = 1999
 T = TypeVar("T")
@@ -34,8 +32,8 @@ _TRIP_COLUMNS = {
     "trip_distance": "l_quantity * 4.07D",
     "RatecodeID": "nullif(l_suppkey % 9, 0)",
     "store_and_fwd_flag": "nullif(l_returnflag, 'R')",
-    "PULocationID": "l_orderkey % 25",
-    "DOLocationID": "l_partkey % 25",
+    "PULocationID": "l_orderkey % 27",
+    "DOLocationID": "l_partkey % 27",
     "payment_type": "l_partkey % 8",
     "fare_amount": "CASE WHEN l_linenumber <> 7 THEN l_extendedprice - 5000 END",
     "extra": "0.09D - nullif(l_discount, 0.05D)",
@@ -71,21 +69,21 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         service = service.when(f.col("n_nationkey") % 3 == 1, "Boro Zone").otherwise("Airports")
         return broadcast_if_small(
             nation.join(region, nation.n_regionkey == region.r_regionkey)
-            .filter(f.col("n_nationkey") != 24)
             .select(
                 f.col("n_nationkey").alias("LocationID"),
                 f.col("r_name").alias("Borough"),
                 f.col("n_name").alias("Zone"),
                 service.alias("service_zone"),
-            )
+            ),
+            key="LocationID",
         )
 
     return once(spark, sf_dir, "zones", build)
 
 
 def is_legacy() -> Column:
-    """Whether a standard trip belongs to the years with the older file layout."""
-    return f.year("tpep_pickup_datetime") < DRIFT_YEAR
+    """Whether a standard trip belongs to the years with the older layout; false if unknown."""
+    return f.coalesce(f.year("tpep_pickup_datetime") < DRIFT_YEAR, f.lit(False))
 
 
 def legacy_layout(standard: DataFrame) -> DataFrame:
@@ -108,43 +106,40 @@ def legacy_layout(standard: DataFrame) -> DataFrame:
     )
 
 
-def raw_months(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Paths of monthly parquet folders in their drifting layouts, written once a session."""
+def raw_root(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of monthly parquet files in their drifting layouts, written once a session."""
 
-    def build() -> list[str]:
+    def build() -> str:
         standard = trips(spark, sf_dir)
+        root = shared_path(spark, "raw")
         halves = {
             "legacy": legacy_layout(standard.filter(is_legacy())),
             "current": standard.filter(~is_legacy()),
         }
-        paths = []
         for name, half in halves.items():
-            root = scratch(spark, f"raw_{name}")
             months = half.withColumns(
                 {
                     "file_year": f.year("tpep_pickup_datetime"),
                     "file_month": f.month("tpep_pickup_datetime"),
                 }
             )
-            write_table(months, root, ["file_year", "file_month"])
-            stored = spark.read.parquet(root).select("file_year", "file_month").distinct()
-            paths += [
-                f"{root}/file_year={row.file_year}/file_month={row.file_month}"
-                for row in stored.collect()
-            ]
-        return sorted(paths)
-
-    return once(spark, sf_dir, "raw_months", build)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the storage the cluster shares, named by ``spark.checkpoint.dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="trips-")
-    return f"{shared.rstrip('/')}/trips-{uuid.uuid4().hex}/{name}"
+            write_table(months, f"{root}/{name}", ["file_year", "file_month"])
+        return root
+
+    return once(spark, sf_dir, "raw_root", build)
+
+
+def year_template(spark: SparkSession, sf_dir: str, year: int) -> str:
+    """The months of one year under the names that a template of year and month gives."""
+
+    def build() -> str:
+        template = shared_path(spark, "by_month") + "/{year}/trips_{year}-{month:02d}.parquet"
+        one_year = trips(spark, sf_dir).filter(f.year("tpep_pickup_datetime") == year)
+        for month, path in enumerate(month_paths(template, year, 12), 1):
+            write_table(one_year.filter(f.month("tpep_pickup_datetime") == month), path)
+        return template
+
+    return once(spark, sf_dir, f"template_{year}", build)
 
 
 _built: dict[tuple[str, str, str], object] = {}

@@ -112,3 +112,18 @@ def test_timestamps_without_zone_pass_unchanged(make_trips):
     at = dt.datetime(2024, 3, 10, 2, 30)
     row = conform(make_trips({"tpep_pickup_datetime": at}), STANDARD).first()
     assert row.tpep_pickup_datetime == at
+
+
+def test_decimals_fit_or_become_null(spark):
+    from pyspark.sql.types import DecimalType, LongType, StructField, StructType
+
+    source = spark.sql(
+        "SELECT 100000 AS small, CAST(9223372036854775807 AS DECIMAL(20,0)) AS large UNION ALL "
+        "SELECT 12, CAST(9223372036854775808 AS DECIMAL(20,0))"
+    )
+    target = StructType(
+        [StructField("small", DecimalType(5, 2)), StructField("large", LongType())]
+    )
+    rows = conform(source, target).collect()
+    assert [None if r.small is None else float(r.small) for r in rows] == [None, 12.0]
+    assert [r.large for r in rows] == [9223372036854775807, None]

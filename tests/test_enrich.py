@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as f
 
 from tests.conftest import plan_of
@@ -111,3 +112,10 @@ def test_hot_location_is_split_when_the_join_shuffles(spark, make_trips):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_doubled_or_null_key_is_an_error(spark, zones):
+    assert broadcast_if_small(zones, key="LocationID").count() == zones.count()
+    for extra in (zones.limit(1), zones.limit(1).withColumn("LocationID", f.lit(None).cast("int"))):
+        with pytest.raises(ValueError, match="LocationID"):
+            broadcast_if_small(zones.union(extra), key="LocationID")

@@ -89,3 +89,20 @@ def test_ratecodes_and_surcharges(cleaned):
 def test_preview(cleaned):
     shown = metrics.preview(cleaned, 2).collect()
     assert len(shown) == 2 and shown == cleaned.orderBy(*cleaned.columns).limit(2).collect()
+
+
+def test_mean_skips_nan_and_null(spark):
+    from tripmetrics.plans.metrics import global_mean
+
+    tips = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "tip double")
+    assert global_mean(tips, "tip").first()[0] == 2.0
+
+
+def test_rule_rejects(spark):
+    from pyspark.sql import functions as f
+
+    from tripmetrics.operators import rule_rejects
+
+    rows = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (None, 1)], "a int, b int")
+    found = rule_rejects(rows, {"a": f.col("a") > 0, "b": f.col("b") > 0}).collect()
+    assert [tuple(row) for row in found] == [("a", 3, 2), ("b", 1, 0)]

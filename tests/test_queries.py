@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from checks.compare import difference, sql_engine
+from checks.oracle import ORACLE
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,15 @@ def engine():
 
 
 def test_every_query_has_its_sql():
-    assert entry_point.queries().keys() == entry_point.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+def test_the_entry_point_offers_them():
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLE.keys() <= entry_point.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, engine, name):
     assert difference(spark, engine, SF_DIR, name) is None
 

@@ -8,6 +8,7 @@ from tripmetrics.sources import (
     load_year,
     month_paths,
     read_months,
+    read_table,
     read_zones,
     register_table,
     write_table,
@@ -141,3 +142,103 @@ def test_a_year_of_the_cleaned_table_reads_only_its_folder(spark, make_trips, zo
     write_table(clean(make_trips({}), zones), path, ["Year"])
     plan = plan_of(spark.read.parquet(path).filter("Year = 2024"))
     assert "PartitionFilters: [isnotnull(Year" in plan
+
+
+def files_in(folder):
+    return [str(file) for file in sorted(folder.glob("part-*"))]
+
+
+@pytest.mark.parametrize("order", [("a", "b"), ("b", "a")])
+def test_one_folder_of_old_and_new_files(spark, make_trips, tmp_path, order):
+    """Old and new files in one folder, whichever comes first by name."""
+    old, new = order
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    legacy_layout(make_trips({"VendorID": None})).coalesce(1).write.parquet(f"{tmp_path}/old")
+    make_trips({"cbd_congestion_fee": 0.75}).coalesce(1).write.parquet(f"{tmp_path}/new")
+    for name, source in ((old, "old"), (new, "new")):
+        for file in files_in(tmp_path / source):
+            (folder / f"{name}.parquet").write_bytes(open(file, "rb").read())
+    table = read_months(spark, [str(folder)])
+    assert table.schema == STANDARD and table.count() == 2
+    assert [r.cbd_congestion_fee for r in table.orderBy("cbd_congestion_fee").collect()] == [None, 0.75]
+    assert table.filter("Airport_fee = 0").count() == 2
+
+
+def test_a_column_of_some_files_between_others(spark, make_trips, tmp_path):
+    """The first and last file lack the column; so do the types agree, but not the columns."""
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    for number in range(5):
+        trips = make_trips({"cbd_congestion_fee": float(number)})
+        if number in (0, 4):
+            trips = trips.drop("cbd_congestion_fee")
+        if number == 2:
+            trips = trips.withColumn("VendorID", trips.VendorID.cast("bigint"))
+        trips.coalesce(1).write.parquet(f"{tmp_path}/{number}")
+        for file in files_in(tmp_path / str(number)):
+            (folder / f"{number}.parquet").write_bytes(open(file, "rb").read())
+    table = read_months(spark, [str(folder)])
+    assert table.count() == 5 and table.filter("VendorID = 2").count() == 5
+    fees = {r.cbd_congestion_fee for r in table.collect()}
+    assert fees == {None, 1.0, 2.0, 3.0}
+    assert plan_of(table).count("FileScan parquet") == 2
+
+
+def test_no_files_is_an_error(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no files"):
+        read_months(spark, [f"{tmp_path}/empty"])
+
+
+def test_a_bad_zone_id_is_an_error(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("LocationID,Borough,Zone,service_zone\n1x,Queens,Bay,Boro Zone")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_zones(spark, str(path)).collect()
+
+
+def test_a_declared_schema_keeps_the_type_of_a_folder_column(spark, make_trips, tmp_path):
+    path = str(tmp_path / "out")
+    write_table(make_trips({}), path, ["payment_type"])
+    kinds = dict(read_table(spark, path, STANDARD).dtypes)
+    assert kinds["payment_type"] == "bigint"
+
+
+@pytest.mark.parametrize("first, second", [(None, ["payment_type"]), (["payment_type"], None)])
+def test_a_stale_definition_is_refused_or_replaced(spark, make_trips, tmp_path, first, second):
+    path, name = str(tmp_path / "out"), f"stale_{'flat' if first is None else 'parted'}"
+    write_table(make_trips({}), path, first)
+    register_table(spark, name, path, first, STANDARD)
+    write_table(make_trips({}, {}), path, second)
+    with pytest.raises(ValueError, match="partitions"):
+        register_table(spark, name, path, second, STANDARD)
+    register_table(spark, name, path, second, STANDARD, replace=True)
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_moved_table_is_refused_or_replaced(spark, make_trips, tmp_path):
+    for number in (1, 2):
+        write_table(make_trips(*[{}] * number), f"{tmp_path}/{number}")
+    register_table(spark, "moved", f"{tmp_path}/1", None, STANDARD)
+    with pytest.raises(ValueError, match="location"):
+        register_table(spark, "moved", f"{tmp_path}/2", None, STANDARD)
+    register_table(spark, "moved", f"{tmp_path}/2", None, STANDARD, replace=True)
+    assert spark.table("moved").count() == 2
+    with pytest.raises(ValueError, match="columns"):
+        register_table(spark, "moved", f"{tmp_path}/2")
+    spark.sql("DROP TABLE moved")
+
+
+def test_intermediate_tables_are_stored_and_deleted(spark):
+    from pathlib import Path
+
+    from tripmetrics.sources import cleanup, store
+    from tripmetrics.sources.shared import shared_root
+
+    root = shared_root(spark)
+    assert store(spark.range(3), "three").count() == 3
+    assert any(Path(root).iterdir())
+    cleanup(spark)
+    assert not Path(root).exists() and shared_root(spark) != root

@@ -7,6 +7,7 @@ from pyspark.sql import functions as f
 from pyspark.sql.types import (
     ByteType,
     DataType,
+    DecimalType,
     FractionalType,
     IntegerType,
     IntegralType,
@@ -67,6 +68,8 @@ def fitting_cast(value: Column, source: DataType, target: DataType) -> Column:
     """
     if source == target:
         return value
+    if isinstance(source, DecimalType) or isinstance(target, DecimalType):
+        return value.try_cast(target)  # no double holds every decimal
     if isinstance(target, IntegralType) and isinstance(source, (IntegralType, FractionalType)):
         bits = _BITS[target]
         if isinstance(source, IntegralType) and _BITS[source] <= bits:

@@ -13,6 +13,7 @@ from tripmetrics.operators.rules import (
     all_hold,
     apply_rules,
     cleaning_report,
+    rule_rejects,
     spot_check,
     trip_rules,
     violations,
@@ -31,6 +32,7 @@ __all__ = [
     "impute_mean",
     "left_join_dimension",
     "rename",
+    "rule_rejects",
     "spot_check",
     "trip_rules",
     "union_all",

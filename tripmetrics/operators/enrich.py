@@ -16,20 +16,32 @@ ROW_BYTES = 32  # what a row costs in a hash table besides its fields
 FIELD_BYTES = 16  # the widest field of fixed size
 
 
-def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(
+    dim: DataFrame, max_bytes: int = BROADCAST_BYTES, key: str | None = None
+) -> DataFrame:
     """``dim`` with a broadcast hint if its measured size is at most ``max_bytes``.
 
+    With ``key`` the same aggregate checks that the key is unique and never null: a doubled key
+    would double facts, so it is an error.
+
     Meant for a dimension that is itself the result of a query, whose size the optimizer
     can only guess; for a plain file its own threshold on the file size is enough. The
     measurement is one aggregate over ``dim`` (an action). Above the limit ``dim`` comes
     back unhinted and the join shuffles; adaptive execution then splits hot keys. So does a
     dimension with nested columns, whose size is not measured.
     """
-    if not all(isinstance(field.dataType, AtomicType) for field in dim.schema):
+    flat = all(isinstance(field.dataType, AtomicType) for field in dim.schema)
+    if not flat and key is None:
         return dim
-    row_bytes = reduce(add, [_width(field) for field in dim.schema], f.lit(ROW_BYTES))
-    size = dim.agg(f.coalesce(f.sum(row_bytes), f.lit(0)).alias("bytes")).first()["bytes"]
-    return f.broadcast(dim) if size <= max_bytes else dim
+    fields = dim.schema if flat else []
+    row_bytes = reduce(add, [_width(field) for field in fields], f.lit(ROW_BYTES))
+    measures = [f.coalesce(f.sum(row_bytes), f.lit(0)).alias("bytes")]
+    if key is not None:
+        measures += [f.count("*").alias("rows"), f.count_distinct(f.col(key)).alias("keys")]
+    found = dim.agg(*measures).first()
+    if key is not None and found["rows"] != found["keys"]:
+        raise ValueError(f"{key} has {found['keys']} different values in {found['rows']} rows")
+    return f.broadcast(dim) if flat and found["bytes"] <= max_bytes else dim
 
 
 def _width(field: StructField) -> Column:

@@ -66,3 +66,28 @@ def cleaning_report(before: DataFrame, rules: dict[str, Column]) -> DataFrame:
         dropped.alias("dropped_count"),
         f.round(percent, 2).alias("dropped_pct"),
     )
+
+
+def rule_rejects(before: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Per rule: rows that fail it, and rows that fail no other; one aggregate for all rules.
+
+    Columns: ``rule, failing, failing_only``. A null in a tested column fails its rule.
+    """
+    failed = [~f.coalesce(rule, f.lit(False)) for rule in rules.values()]
+    flags = before.select(f.array(*failed).alias("failed")).withColumn(
+        "failures", f.size(f.filter("failed", lambda flag: flag))
+    )
+    counts = []
+    for place in range(len(rules)):
+        fails = f.col("failed")[place]
+        counts.append(f.count_if(fails).alias(f"failing_{place}"))
+        counts.append(f.count_if(fails & (f.col("failures") == 1)).alias(f"only_{place}"))
+    rows = [
+        f.struct(
+            f.lit(name).alias("rule"),
+            f.col(f"failing_{place}").alias("failing"),
+            f.col(f"only_{place}").alias("failing_only"),
+        )
+        for place, name in enumerate(rules)
+    ]
+    return flags.agg(*counts).select(f.inline(f.array(*rows)))

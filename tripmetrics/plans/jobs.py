@@ -64,7 +64,7 @@ class JobConfig:
 
 def clean_staged(spark: SparkSession, config: JobConfig) -> int:
     """Clean the staged table into the cleaned one; returns its row count."""
-    zones = broadcast_if_small(read_zones(spark, config.zones_path))
+    zones = broadcast_if_small(read_zones(spark, config.zones_path), key="LocationID")
     cleaned = clean(read_staged(spark, config.staged_path), zones)
     return write_table(cleaned, config.cleaned_path, config.partition_by)
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as f
 
+from tripmetrics.functions import without_nan
+
 SURCHARGES = (
     "extra_charges",
     "mta_tax",
@@ -45,14 +47,14 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def global_mean(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(f.avg(column).alias(f"mean_{column}"))
+    """The mean of a column; missing values and NaN do not count, as in the imputation."""
+    return df.agg(f.avg(without_nan(column)).alias(f"mean_{column}"))
 
 
 def share(df: DataFrame, key: str, *measures: Column) -> DataFrame:
     """Trips per key and their percentage of all trips.
 
-    The window runs over the aggregated rows, one per key, so ``key`` has to be a label or
-    a dimension attribute.
+    For labels and dimension attributes: the aggregated rows, one per key, meet in one window.
     """
     counts = df.groupBy(key).agg(_trips(), *measures)
     everything = f.sum("trip_count").over(Window.partitionBy())

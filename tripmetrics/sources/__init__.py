@@ -8,9 +8,11 @@ from tripmetrics.sources.reading import (
     read_table,
     read_zones,
 )
+from tripmetrics.sources.shared import cleanup, shared_path, store
 from tripmetrics.sources.writing import copy_parquet, register_table, write_table
 
 __all__ = [
+    "cleanup",
     "copy_parquet",
     "load_year",
     "month_paths",
@@ -19,5 +21,7 @@ __all__ = [
     "read_table",
     "read_zones",
     "register_table",
+    "shared_path",
+    "store",
     "write_table",
 ]

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tripmetrics.operators.conform import conform, union_all
 from tripmetrics.schemas import STANDARD, ZONES
 
-FOOTER_READERS = 16
-
 
 def month_paths(template: str, year: int, last_month: int) -> list[str]:
     """Paths of months 1 to ``last_month``.
@@ -24,33 +22,100 @@ def month_paths(template: str, year: int, last_month: int) -> list[str]:
 def read_months(
     spark: SparkSession, paths: list[str], schema: StructType = STANDARD
 ) -> DataFrame:
-    """All rows of all paths, conformed to ``schema``.
+    """All rows of all files at or below ``paths``, conformed to ``schema``.
 
     Types that drift between files cannot be merged while reading (an int column does not
-    read as bigint data), so the paths are grouped by the schema in their footer: one scan
-    per distinct schema, however many files there are, and the casts come after it.
+    read as bigint data), so files are grouped by layout: one scan per layout, however many
+    files there are, and the casts come after it. The footer of every file counts, so a column
+    that only some files of a folder have is read from those. Partition folders are only
+    folders here.
     """
-    with ThreadPoolExecutor(FOOTER_READERS) as readers:
-        schemas = list(readers.map(lambda path: spark.read.parquet(path).schema, paths))
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for path, found in zip(paths, schemas):
-        groups.setdefault(found.json(), (found, []))[1].append(path)
+    files = sorted(
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(list(dict.fromkeys(paths)))
+        .inputFiles()
+    )
+    if not files:
+        raise ValueError(f"no files at {paths}")
     return union_all(
         [
             conform(spark.read.schema(found).parquet(*members), schema)
-            for found, members in groups.values()
+            for found, members in _layouts(spark, files)
         ]
     )
 
 
+_CONFLICTS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
+
+
+def _layouts(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Groups of files whose schemas merge, with the merged schema.
+
+    Files in order of their names drift at a few places. A stretch whose first and last file
+    agree is read as one: Spark opens all its footers in one distributed job. Other stretches,
+    and one in which a file between disagrees, are halved. So the jobs grow with the logarithm
+    of the files; only files that alternate between layouts take a job each.
+    """
+    known: dict[str, StructType] = {}
+
+    def footer(file: str) -> StructType:
+        if file not in known:
+            known[file] = spark.read.parquet(file).schema
+        return known[file]
+
+    groups: list[tuple[StructType, list[str]]] = []
+    waiting = [files]
+    while waiting:
+        stretch = waiting.pop()
+        found = _merged(footer(stretch[0]), footer(stretch[-1]))
+        if found is not None and len(stretch) > 2:
+            found = _all_footers(spark, stretch)
+        if found is None:
+            middle = len(stretch) // 2
+            waiting += [stretch[middle:], stretch[:middle]]
+            continue
+        for number, (schema, members) in enumerate(groups):
+            merged = _merged(schema, found)
+            if merged is not None:
+                groups[number] = (merged, members + stretch)
+                break
+        else:
+            groups.append((found, stretch))
+    return groups
+
+
+def _all_footers(spark: SparkSession, files: list[str]) -> StructType | None:
+    """The merged schema of all files, or None if they do not merge."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as error:  # raised on the driver, or in a task
+        if any(conflict in str(error) for conflict in _CONFLICTS):
+            return None
+        raise
+
+
+def _merged(one: StructType, other: StructType) -> StructType | None:
+    """The columns of both, or None if a column differs in type."""
+    fields = {field.name.lower(): field for field in one}
+    for field in other:
+        if fields.setdefault(field.name.lower(), field).dataType != field.dataType:
+            return None
+    return StructType(list(fields.values()))
+
+
 def load_year(spark: SparkSession, template: str, year: int, last_month: int) -> DataFrame:
     """One year of monthly files, conformed."""
     return read_months(spark, month_paths(template, year, last_month))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of parquet files of one schema."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A folder of parquet files of one schema.
+
+    With ``schema`` no footer is opened and columns kept in folder names get their declared
+    types; without it those are guessed from the names.
+    """
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
@@ -61,6 +126,8 @@ def read_staged(spark: SparkSession, path: str) -> DataFrame:
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """The zone dimension from CSV with a header. ``N/A`` is text in it, not null.
 
-    The schema is declared, so the file is not read twice, and the header has to match it.
+    The schema is declared, so the file is not read twice, and the header has to match it. A
+    value that does not have its column's type is an error, not a null key.
     """
-    return spark.read.schema(ZONES).options(header=True, enforceSchema=False).csv(path)
+    strict = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
+    return spark.read.schema(ZONES).options(**strict).csv(path)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
-_roots: dict[str, str] = {}
+_roots: dict[str, tuple[str, Callable[[], None]]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,9 +25,24 @@ def shared_root(spark: SparkSession) -> str:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
             shared = tempfile.mkdtemp(prefix="tripmetrics-")
-        _roots[app] = f"{shared.rstrip('/')}/{app}-{uuid.uuid4().hex[:8]}"
-        atexit.register(cleanup, spark)
-    return _roots[app]
+        root = f"{shared.rstrip('/')}/{app}-{uuid.uuid4().hex[:8]}"
+        _roots[app] = root, _deleter(spark, root)
+        atexit.register(_roots[app][1])
+    return _roots[app][0]
+
+
+def _deleter(spark: SparkSession, root: str) -> Callable[[], None]:
+    """What deletes ``root``, also after the session has stopped."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def delete() -> None:
+        try:
+            system.delete(path, True)
+        except (Py4JError, OSError):  # the JVM has ended before Python
+            print(f"intermediate files stay in {root}")
+
+    return delete
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -45,13 +62,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def cleanup(spark: SparkSession) -> None:
-    """Delete all intermediate files of this application."""
-    root = _roots.pop(spark.sparkContext.applicationId, None)
-    if root is None:
-        return
-    context = spark.sparkContext
-    try:
-        path = context._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception as error:  # the JVM may be gone by the time Python ends
-        print(f"intermediate files stay in {root}: {type(error).__name__}")
+    """Delete all intermediate files of this application now."""
+    _, delete = _roots.pop(spark.sparkContext.applicationId, ("", lambda: None))
+    atexit.unregister(delete)
+    delete()

@@ -38,14 +38,24 @@ def register_table(
     path: str,
     partition_by: list[str] | None = None,
     schema: StructType = CLEAN,
+    replace: bool = False,
 ) -> None:
-    """Make the parquet files at ``path`` a SQL table, unless ``name`` exists already.
+    """Make the parquet files at ``path`` a SQL table.
 
     The columns are declared, so no footer is read and the files may come later. Registering
-    again after an overwrite makes the new files visible.
+    again after an overwrite makes the new files visible. A table of that name with another
+    location, other columns or other partitions would show old rows or none: it is an error,
+    or with ``replace`` its definition is dropped (the files are external and stay).
     """
+    partition_by = partition_by or []
+    if spark.catalog.tableExists(name):
+        differing = _differences(spark, name, path, partition_by, schema)
+        if differing and not replace:
+            raise ValueError(f"table {name} exists with other {', '.join(differing)}")
+        if differing:
+            spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
     columns = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in schema)
-    partitions = ", ".join(f"`{column}`" for column in partition_by or [])
+    partitions = ", ".join(f"`{column}`" for column in partition_by)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING PARQUET "
         + (f"PARTITIONED BY ({partitions}) " if partitions else "")
@@ -55,3 +65,30 @@ def register_table(
     if partitions:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
+
+
+def _differences(
+    spark: SparkSession, name: str, path: str, partition_by: list[str], schema: StructType
+) -> list[str]:
+    """In what an existing table differs from the wanted one."""
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", {"name": name}).collect()
+    location = next((row.data_type for row in described if row.col_name == "Location"), "")
+    catalog = spark.catalog.listColumns(name)
+    found = {
+        "location": _qualified(spark, location),
+        "columns": sorted((c.name, c.dataType) for c in catalog),
+        "partitions": [c.name for c in catalog if c.isPartition],
+    }
+    wanted = {
+        "location": _qualified(spark, path),
+        "columns": sorted((c.name, c.dataType.simpleString()) for c in schema),
+        "partitions": partition_by,
+    }
+    return [what for what in wanted if wanted[what] != found[what]]
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as the catalog keeps it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString().rstrip("/")
