@@ -1,0 +1,47 @@
+import random
+
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+    # names that the operators use themselves
+    "ids string, fp string, score string, kept string, label string, recipe string, part string"
+)
+LONG = "x" * 60_000 + " " + "lorem ipsum dolor sit amet " * 4_000 + "1" * 30_000
+TEXTS = [
+    (1, None),
+    (2, ""),
+    (3, "Hello World, this is a Text of nine words"),
+    (4, "hello world, THIS is a text of nine words"),
+    (5, "HELLO WORLD, this is a text of nine words"),
+    (5, "HELLO WORLD, this is a text of nine words"),
+    (6, " \n\t "),
+    (7, LONG),
+    (8, LONG.upper()),
+    (9, "Ünïcode Straße 中文 🙂 it's \x1c   é fi 1234\r\n\r\n two  spaces"),
+    (None, "a row without an id, mail me@example.org or call +1 (555) 123-4567"),
+    (None, None),
+    (12, "tail"),
+    (13, "<|endoftext|> don't <|endoftext|>x H̱ İstanbul"),
+]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Null, empty, blank, long, repeated and equal texts; null ids; clashing columns."""
+    rows = [
+        (i, text, None if n % 5 == 0 else "en", None if n % 4 == 0 else "src", n, *["?"] * 7)
+        for n, (i, text) in enumerate(TEXTS)
+    ]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def dice():
+    return random.Random(11)

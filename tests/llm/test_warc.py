@@ -1,0 +1,72 @@
+from collections import Counter
+
+import pytest
+
+from tripmetrics.llm import warc
+from tripmetrics.sources import shared_path
+
+MAGIC = "WARC/1.1\r\n"
+FAKE = MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+PARTS = [MAGIC, FAKE, MAGIC + "Content-Length: 99999\r\n\r\n", "\r\n\r\n", "é", "WARC/1.1", "x" * 90]
+
+
+def pages_of(dice, n):
+    rows = []
+    for i in range(n):
+        html = "".join(dice.choice(PARTS) for _ in range(dice.randint(0, 8)))
+        html = None if i % 11 == 0 else "copy" if i % 5 == 0 else html
+        rows.append((i, None if i % 7 == 0 else f"http://x/{i}\r\ny: z", html, "?"))
+    return rows + [rows[3], (None, None, "no id", "?"), (None, "u", "copy", "?")]
+
+
+def expected(rows, least):
+    groups = {}
+    for i, _, html, _ in rows:
+        groups.setdefault(html or "", []).append(i)
+    out = []
+    for i, _, html, _ in rows:
+        payload = (html or "").encode()
+        first = max((p for p in groups[html or ""] if p is not None), default=None)
+        revisit = len(payload) >= least and first is not None and i != first
+        kind = ("revisit", first) if revisit else ("response", None)
+        out.append((i, len(payload), warc.payload_digest(payload), *kind, True))
+    return Counter(out)
+
+
+def round_trip(spark, pages, least=0):
+    path = shared_path(spark, "archives")
+    warc.write_archives(warc.page_records(pages, least), path)
+    return warc.page_rows(warc.read_archives(spark, path))
+
+
+@pytest.mark.parametrize("split, least", [("128m", 0), ("3000", 5)])
+def test_round_trip_with_magic_in_payloads(spark, dice, split, least):
+    """Whole files, and files split inside records and payloads."""
+    rows = pages_of(dice, 60)
+    pages = spark.createDataFrame(
+        rows, "page_id bigint, url string, html string, payload string"
+    ).repartition(2)
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = Counter(tuple(row) for row in round_trip(spark, pages, least).collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found == expected(rows, least)
+
+
+def test_a_broken_record_ends_its_file(spark, tmp_path):
+    good = MAGIC + "WARC-Type: response\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    broken = MAGIC + "WARC-Type: response\r\nContent-Length: 500\r\n\r\nshort\r\n\r\n"
+    (tmp_path / "one.warc").write_bytes((good + good + broken + good).encode())
+    (tmp_path / "two.warc").write_bytes(("noise" + good).encode())
+    rows = warc.read_archives(spark, str(tmp_path)).orderBy("at").collect()
+    assert [row.block_bytes for row in rows] == [2, 2]
+
+
+def test_no_pages(spark):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert round_trip(spark, pages).count() == 0

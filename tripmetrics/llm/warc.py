@@ -269,10 +269,11 @@ def _mended(spark: SparkSession, path: str, placed: DataFrame, cut: DataFrame) -
     joined = found.groupBy("path", "record", "header", "declared").agg(
         f.array_join(bodies, MAGIC.encode().hex().upper()).alias("bytes")
     )
-    block = f.substring(
-        f.unhex("bytes"), f.octet_length("header") + 3, f.col("declared").cast("int")
-    )
-    return joined.select(
+    start = f.octet_length("header") + 3
+    block = f.substring(f.unhex("bytes"), start, f.col("declared").cast("int"))
+    # a file that ends inside a record has fewer bytes than the record declares
+    complete = f.length("bytes") / 2 >= start - 1 + f.col("declared") + len(END)
+    return joined.filter(complete).select(
         "path",
         f.col("record").alias("at"),
         "header",
