@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as f
 
+from tripmetrics.llm.shipping import ship
+
 CACHE_ENTRIES = 500_000
 CACHED_CHARS = 48
 LONG_TEXT = 1 << 20
@@ -161,6 +163,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
                 ],
             )
 
+    ship(docs.sparkSession)
     docs = docs.drop("ids")
     return docs.mapInArrow(run, docs.withColumn("ids", f.lit(b"")).schema)
 
@@ -186,5 +189,6 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 ],
             )
 
+    ship(encoded.sparkSession)
     encoded = encoded.drop("decoded")
     return encoded.mapInArrow(run, encoded.withColumn("decoded", f.lit(b"")).schema)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
 from pyspark.sql.window import Window
 
+from tripmetrics.llm.shipping import ship
 from tripmetrics.sources.shared import store
 
 BUCKETS = 1 << 13
@@ -144,6 +145,7 @@ def fit(
     Document frequencies cover all rows. The sample has at most ``sample_per_language`` rows a
     language, those with the lowest hash of doc_id.
     """
+    ship(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null")
     frequencies = (
         labelled.select("text")
@@ -218,6 +220,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     knows no language. Only ``text`` is read for it. Ties go to the first language by name.
     Columns of these names are replaced.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as f
 
+from tripmetrics.llm.shipping import ship
 from tripmetrics.sources.shared import store
 
 CAPACITY = 2048
@@ -153,6 +154,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
                     [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names
                 )
 
+    ship(docs.sparkSession)
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
     docs = docs.select(f.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return docs.mapInArrow(run, schema)
@@ -249,6 +251,7 @@ def pack(
     a sequence alone). Ties in length go by row number, so a partition that runs twice packs
     alike. Repeated rows and null doc_ids are pieces like any other; no piece, no sequence.
     """
+    ship(pieces.sparkSession)
     numbered = store(
         pieces.select("doc_id", "piece", "start", "length", "ids_crc32").withColumn(
             "row_no", f.monotonically_increasing_id()

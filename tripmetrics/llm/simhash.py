@@ -22,6 +22,7 @@ from pyspark.sql import functions as f
 from xxhash import xxh64_intdigest
 
 from tripmetrics.llm.components import component_labels
+from tripmetrics.llm.shipping import ship
 from tripmetrics.sources.shared import store
 
 SEED = 42
@@ -62,6 +63,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 [*(batch.column(c) for c in kept), column], names=[*kept, "fp"]
             )
 
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", *(c for c in docs.columns if c == "__row"), "text")
     return docs.mapInArrow(run, docs.drop("text").withColumn("fp", f.lit(0).cast("bigint")).schema)
 
@@ -182,6 +184,7 @@ def _block(i: int) -> Column:
 
 def links(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
     """Links (a, b) that connect all of the distinct fingerprints ``fp`` within the radius."""
+    ship(nodes.sparkSession)
     keys = [
         f.lit(which).cast("bigint") * (1 << 32) + _block(i) * (1 << 16) + _block(j)
         for which, (i, j) in enumerate(combinations(range(4), 2))

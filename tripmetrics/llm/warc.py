@@ -25,6 +25,7 @@ from pyspark.sql import functions as f
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
+from tripmetrics.llm.shipping import ship
 from tripmetrics.sources.shared import store
 
 VERSION = "WARC/1.1"
@@ -65,6 +66,7 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -
     row with the largest page_id (null: smallest) is the response; of several such rows, all
     are. Payloads are equal if SHA-1, SHA-256 and length are. Smaller payloads are responses.
     """
+    ship(pages.sparkSession)
     rows = pages.select("page_id", "url", f.coalesce("html", f.lit("")).alias("payload"))
     keyed = rows.withColumns(
         {
@@ -225,6 +227,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Records come from the chain that starts each file. A chain that ends before its file does
     (a broken record) keeps the records before that. Header names count without case.
     """
+    ship(spark)
     placed = _pieces(spark, path)
     head = f.octet_length("header") + len(MAGIC) + 2
     proposed = placed.filter("declared is not null").withColumn(
