@@ -61,13 +61,17 @@ def test_base_measures(spark, odd_docs, no_docs, dice):
     assert quality.assess(odd_docs).count() == len(TEXTS) and quality.assess(no_docs).count() == 0
 
 
+MORE_JUNK = [" | ".join(f"menu{i}x{j}" for j in range(4)) for i in range(12)]
+
+
 def test_bad_lines_are_removed_and_decide(spark):
     prose = " ".join(f"word{i}" for i in range(30)) + "."
+    other = " ".join(f"more{i}" for i in range(30)) + "."
     junk = ["Home | News | Contact | Login | Help", "WOW!! BUY!! NOW!!", "a### b$$$ c%%% d***",
             "All rights reserved.", "spam spam spam spam spam spam"]
-    rows = quality.assess(docs_of(spark, ["\n".join([prose, *junk, prose]), "\n".join(junk * 3 + [prose])]))
+    rows = quality.assess(docs_of(spark, ["\n".join([prose, *junk, other]), "\n".join([*MORE_JUNK, prose])]))
     first, second = rows.orderBy("doc_id").collect()
-    assert first.kept and first.clean_text == f"{prose}\n{prose}"
+    assert first.kept and first.clean_text == f"{prose}\n{other}"
     assert first.lost_chars == sum(map(len, junk))
     assert not second.base_failed and not second.kept
 

@@ -148,7 +148,7 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def links(rows: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
         searches = np.concatenate([r[0] for r in rows])
         fps = np.concatenate([r[1] for r in rows])
-        if len(fps) < 2:
+        if len(fps) < 2 or searches.all():  # a tree may have got no member
             return []
         if len(fps) == 2 and not searches.any():
             a, b = fps.tolist()
