@@ -7,6 +7,26 @@ from tripmetrics.llm import licenses, quality
 _WORD = r"[^ \t-\r]+"
 
 
+def _archives() -> str:
+    # base 32: every five hexadecimal digits are four letters
+    letters = " || ".join(
+        "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+        f"1 + ((CAST('0x' || substr(digest, 5 * i + 1, 5) AS INTEGER) >> {shift}) & 31), 1)"
+        for shift in (15, 10, 5, 0)
+    )
+    return f"""
+        WITH payloads AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+            sha1(coalesce(html, '')) AS digest, max(page_id) OVER (PARTITION BY html) AS first_id
+          FROM (SELECT page_id, coalesce(html, '') AS html FROM pages)
+        )
+        SELECT page_id, payload_bytes,
+          array_to_string(list_transform(range(0, 8), lambda i: {letters}), '') AS payload_digest,
+          CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> first_id THEN first_id END AS refers_to, true AS verified
+        FROM payloads"""
+
+
 def _licenses() -> str:
     known = ", ".join(f"('{text}', '{name}')" for name, text in licenses.SENTENCES.items())
     cuts = {"lines": licenses.BY_LINES, "across": licenses.ACROSS_LINES}
@@ -143,6 +163,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM normalised WINDOW same AS (PARTITION BY norm)""",
+    "op3_warc": _archives(),
     "op6_license_scan": _licenses(),
     "op8_quality_rules": _quality(),
 }
