@@ -39,3 +39,18 @@ def test_jobs_one_by_one_and_again(spark, raw, zones_csv, tmp_path, capsys):  #
     assert said.count("staged 4 rows") == 2 and said.count("cleaned 4 rows") == 2
     assert "copied 4 rows" in said
     spark.sql("DROP TABLE step_by_step")
+
+
+def test_a_known_mean_gives_the_same_and_saves_a_scan(spark, make_trips, zones, tmp_path):
+    from tests.conftest import plan_of
+    from tripmetrics.plans.jobs import clean, stage_observed
+    from tripmetrics.sources import read_staged
+
+    make_trips({}, {"tip_amount": None}, {"tip_amount": 5.0}).write.parquet(f"{tmp_path}/raw")
+    seen = stage_observed(spark, [f"{tmp_path}/raw"], f"{tmp_path}/staged")
+    assert seen == {"rows": 3, "mean_tip": 3.5}
+    staged = read_staged(spark, f"{tmp_path}/staged")
+    known, unknown = clean(staged, zones, seen["mean_tip"]), clean(staged, zones)
+    plan = plan_of(known)
+    assert plan.count("FileScan") == 1 and "Subquery" not in plan
+    assert sorted(known.collect()) == sorted(unknown.collect())

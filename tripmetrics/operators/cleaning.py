@@ -30,14 +30,15 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.fillna({name: value for name, value in DEFAULTS.items() if name in df.columns})
 
 
-def impute_mean(df: DataFrame, column: str) -> DataFrame:
+def impute_mean(df: DataFrame, column: str, mean: float | None = None) -> DataFrame:
     """Missing values of ``column`` become its mean over all rows of ``df``.
 
-    The mean is a scalar subquery: it stays part of the lazy plan, reads that one column,
-    and reaches the row side as a constant, so there is no join. Call it before filtering.
+    Without a known ``mean`` it is a scalar subquery: it stays part of the lazy plan, reads that
+    one column, and reaches the row side as a constant, so there is no join. Call it before
+    filtering.
     """
-    mean = df.agg(f.avg(without_nan(column))).scalar()
-    return df.withColumn(column, f.coalesce(without_nan(column), mean))
+    value = df.agg(f.avg(without_nan(column))).scalar() if mean is None else f.lit(mean)
+    return df.withColumn(column, f.coalesce(without_nan(column), value))
 
 
 def derive(df: DataFrame) -> DataFrame:

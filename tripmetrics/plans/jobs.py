@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as f
 
+from tripmetrics.functions import without_nan
 from tripmetrics.operators import (
     apply_rules,
     broadcast_if_small,
@@ -23,31 +26,41 @@ from tripmetrics.sources import (
     read_staged,
     read_zones,
     register_table,
+    write_observed,
     write_table,
 )
 
 
 def stage(spark: SparkSession, paths: list[str], target: str) -> int:
     """Conform and union raw monthly files into one staged table; returns its row count."""
-    return write_table(read_months(spark, paths), target)
+    return stage_observed(spark, paths, target)["rows"]
 
 
-def prepare(staged: DataFrame) -> DataFrame:
-    """Renamed, with duration, nulls filled; nothing dropped yet."""
-    return impute_mean(fill_defaults(with_duration(rename(staged))), "tip_amount")
+def stage_observed(spark: SparkSession, paths: list[str], target: str) -> dict[str, Any]:
+    """``stage`` with what the cleaning needs to know of all rows: ``rows``, ``mean_tip``."""
+    mean_tip = f.avg(without_nan("tip_amount"))
+    return write_observed(read_months(spark, paths), target, mean_tip=mean_tip)
 
 
-def tidy(staged: DataFrame) -> DataFrame:
+def prepare(staged: DataFrame, mean_tip: float | None = None) -> DataFrame:
+    """Renamed, with duration, nulls filled; nothing dropped yet.
+
+    The mean tip of all rows, if it is known, saves the scan of that column.
+    """
+    return impute_mean(fill_defaults(with_duration(rename(staged))), "tip_amount", mean_tip)
+
+
+def tidy(staged: DataFrame, mean_tip: float | None = None) -> DataFrame:
     """The kept trips with derived columns, before the zone joins.
 
     Enough for every question that does not ask for a zone.
     """
-    return derive(apply_rules(prepare(staged), trip_rules()))
+    return derive(apply_rules(prepare(staged, mean_tip), trip_rules()))
 
 
-def clean(staged: DataFrame, zones: DataFrame) -> DataFrame:
+def clean(staged: DataFrame, zones: DataFrame, mean_tip: float | None = None) -> DataFrame:
     """Staged trips to the 32-column cleaned table."""
-    return enrich(tidy(staged), zones).select(*CLEAN.names)
+    return enrich(tidy(staged, mean_tip), zones).select(*CLEAN.names)
 
 
 @dataclass(frozen=True)
@@ -62,16 +75,21 @@ class JobConfig:
     partition_by: list[str] = field(default_factory=list)
 
 
-def clean_staged(spark: SparkSession, config: JobConfig) -> int:
-    """Clean the staged table into the cleaned one; returns its row count."""
+def clean_staged(
+    spark: SparkSession, config: JobConfig, mean_tip: float | None = None
+) -> int:
+    """Clean the staged table into the cleaned one; returns its row count.
+
+    With the mean tip that staging observed, the staged table is read once.
+    """
     zones = broadcast_if_small(read_zones(spark, config.zones_path), key="LocationID")
-    cleaned = clean(read_staged(spark, config.staged_path), zones)
+    cleaned = clean(read_staged(spark, config.staged_path), zones, mean_tip)
     return write_table(cleaned, config.cleaned_path, config.partition_by)
 
 
 def run(spark: SparkSession, config: JobConfig) -> dict[str, int]:
     """All jobs in order; returns the row counts. Each can be rerun from its stored input."""
-    staged_rows = stage(spark, config.raw_paths, config.staged_path)
-    cleaned_rows = clean_staged(spark, config)
+    staged = stage_observed(spark, config.raw_paths, config.staged_path)
+    cleaned_rows = clean_staged(spark, config, staged["mean_tip"])
     register_table(spark, config.table_name, config.cleaned_path, config.partition_by)
-    return {"staged_rows": staged_rows, "cleaned_rows": cleaned_rows}
+    return {"staged_rows": staged["rows"], "cleaned_rows": cleaned_rows}

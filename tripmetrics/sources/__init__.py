@@ -9,7 +9,12 @@ from tripmetrics.sources.reading import (
     read_zones,
 )
 from tripmetrics.sources.shared import cleanup, shared_path, store
-from tripmetrics.sources.writing import copy_parquet, register_table, write_table
+from tripmetrics.sources.writing import (
+    copy_parquet,
+    register_table,
+    write_observed,
+    write_table,
+)
 
 __all__ = [
     "cleanup",
@@ -23,5 +28,6 @@ __all__ = [
     "register_table",
     "shared_path",
     "store",
+    "write_observed",
     "write_table",
 ]

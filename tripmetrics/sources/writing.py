@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as f
 from pyspark.sql.types import StructType
 
@@ -15,16 +17,27 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     Without ``partition_by`` the rows are written where they are, with no shuffle. With it
     they are rebalanced on those columns first: a folder then gets few large files, and
     adaptive execution splits a folder that holds much of the data over several tasks.
-    The count is observed right at the write, so it costs no second pass.
+    """
+    return write_observed(df, path, partition_by)["rows"]
+
+
+def write_observed(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, **measures: Column
+) -> dict[str, Any]:
+    """``write_table`` that also returns aggregates of the rows, with ``rows`` among them.
+
+    They are observed right at the write, so they cost no second pass.
     """
     if partition_by:
         df = df.hint("rebalance", *[f.col(name) for name in partition_by])
     written = Observation()
-    writer = df.observe(written, f.count("*").alias("rows")).write.mode("overwrite")
+    aggregates = [measure.alias(name) for name, measure in measures.items()]
+    observed = df.observe(written, f.count("*").alias("rows"), *aggregates)
+    writer = observed.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return written.get["rows"]
+    return written.get
 
 
 def copy_parquet(spark: SparkSession, source: str, target: str) -> int:
