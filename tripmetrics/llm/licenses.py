@@ -103,24 +103,21 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = f.coalesce("text", f.lit(""))
     both = f.array(identifiers(text, BY_LINES), identifiers(text, ACROSS_LINES))
-    longer = let(
-        both, lambda b: f.when(f.size(b[1]) > f.size(b[0]), b[1]).otherwise(b[0])
-    )
+    longer = let(both, lambda b: f.when(f.size(b[1]) > f.size(b[0]), b[1]).otherwise(b[0]))
     empty = f.array().cast("array<string>")
     ids = docs.select(
         "doc_id", f.when(text.rlike(HINT), longer).otherwise(empty).alias("ids")
-    ).select("doc_id", f.size("ids").cast("bigint").alias("n_sentences"), f.array_join("ids", " ").alias("sentence_ids"))
+    ).select(
+        "doc_id",
+        f.size("ids").cast("bigint").alias("n_sentences"),
+        f.array_join("ids", " ").alias("sentence_ids"),
+    )
     line = f.concat(f.lit(" "), f.col("sentence_ids"), f.lit(" "))
     # a sentence's closing space opens the next, so spaces are doubled for matching
     line = f.replace(line, f.lit(" "), f.lit("  "))
     matched = f.array_distinct(
         f.array_compact(
-            f.array(
-                *[
-                    f.when(line.rlike(_pattern(seq)), name)
-                    for name, seq in RULES
-                ]
-            )
+            f.array(*[f.when(line.rlike(_pattern(seq)), name) for name, seq in RULES])
         )
     )
     return ids.withColumn("matched", matched).select(

@@ -1,8 +1,8 @@
 """Quality rules, lines first, in DataFrame functions only.
 
 Each line is judged by itself: punctuation (symbols, shouting), navigation (menus),
-boilerplate, stutter. Failing lines are removed. A document is rejected if it fails the base rules on
-its words, or loses too much of its text.
+boilerplate, stutter. Failing lines are removed. A document is rejected if it fails the base
+rules on its words, or loses too much of its text.
 """
 
 from __future__ import annotations
@@ -59,7 +59,9 @@ def _covered(word: Column, starts: Column) -> Column:
     windows = f.array_sort(
         f.transform(
             starts,
-            lambda i: f.struct(f.array_join(f.slice(word, i, WINDOW), " ").alias("w"), i.alias("i")),
+            lambda i: f.struct(
+                f.array_join(f.slice(word, i, WINDOW), " ").alias("w"), i.alias("i")
+            ),
         )
     )
 
@@ -107,7 +109,12 @@ def assess(docs: DataFrame) -> DataFrame:
     text = f.coalesce("text", f.lit(""))
     measured = (
         docs.select("doc_id", text.alias("text"))
-        .select("doc_id", "text", words(f.col("text")).alias("words"), lines(f.col("text")).alias("lines"))
+        .select(
+            "doc_id",
+            "text",
+            words(f.col("text")).alias("words"),
+            lines(f.col("text")).alias("lines"),
+        )
         .select(
             "doc_id",
             f.size("words").cast("bigint").alias("n_words"),

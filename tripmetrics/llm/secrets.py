@@ -26,7 +26,10 @@ KNOWN = (
     r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|-----BEGIN .*)$"
 )
-NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential)s?"
+NAMES = (
+    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer"
+    r"|credential)s?"
+)
 ASSIGNED = NAMES + r"[\"']?\s*(?:[:=]|=>)\s*[\"']?$"
 HARMLESS = r"(?i)(?:sha(?:1|256|512)?|md5|commit|digest|checksum|uuid|etag|revision)[\"' :=]*$"
 PLACEHOLDER = r"(?i)example|sample|dummy|test|placeholder|change_?me|your[_-]|xxxx|0{8}|1234567"

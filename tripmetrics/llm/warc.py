@@ -206,7 +206,9 @@ def reachable(candidates: DataFrame) -> DataFrame:
         source = state.withColumn("key", f.coalesce("to", -1 - f.col("at")))
         own = f.struct("at", f.col("further").alias("to"), "hit")
         onward = f.struct(
-            f.col("to").alias("at"), f.lit(None).cast("bigint").alias("to"), f.lit(True).alias("hit")
+            f.col("to").alias("at"),
+            f.lit(None).cast("bigint").alias("to"),
+            f.lit(True).alias("hit"),
         )
         rows = f.array_compact(f.array(own, f.when(f.col("hit") & f.col("known"), onward)))
         state = store(
@@ -318,10 +320,17 @@ def page_rows(records: DataFrame) -> DataFrame:
         "rows",
     )
     response = f.col("record_type") == "response"
-    payload = [f.col("block_bytes").alias("payload_bytes"), f.col("block_digest").alias("payload_digest")]
+    payload = [
+        f.col("block_bytes").alias("payload_bytes"),
+        f.col("block_digest").alias("payload_digest"),
+    ]
     found = store(
         rows.filter(response)
-        .select(f.col("page_id").alias("refers_to"), f.col("block_digest").alias("declared"), *payload)
+        .select(
+            f.col("page_id").alias("refers_to"),
+            f.col("block_digest").alias("declared"),
+            *payload,
+        )
         .distinct(),
         "responses",
     )
