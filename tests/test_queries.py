@@ -1,5 +1,10 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -50,3 +55,14 @@ def test_each_rule_is_the_only_reason_for_some_drops(spark):
         .first()
     )
     assert len(counts) == 12 and all(counts)
+
+
+def test_entry_point_without_the_corpus_parts(tmp_path):
+    root = Path(entry_point.__file__).parent
+    left_out = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__")
+    shutil.copytree(root, tmp_path / "repo", ignore=left_out)
+    code = "import __spark_entry__ as e; print(*e.queries()); assert e.oracle_sql()"
+    said = subprocess.run(
+        [sys.executable, "-B", "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True
+    )
+    assert said.stdout.split() == list(QUERIES), said.stderr
