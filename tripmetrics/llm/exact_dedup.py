@@ -76,15 +76,16 @@ def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
         ),
         "recipes",
     )
-    # Only groups with copies are joined back. A hot group is combined before the exchange,
-    # and the join's document side can be split.
-    groups = (
+    # Only groups with copies are joined back. A hot group is combined before the exchange;
+    # stored, the groups leave the join's document side free to be split.
+    groups = store(
         recipes.groupBy("recipe")
         .agg(
             f.max(f.struct(f.col("doc_id"), f.col("__row"))).alias("keep"),
             f.count("*").alias("group_size"),
         )
-        .filter("group_size > 1")
+        .filter("group_size > 1"),
+        "groups",
     )
     return recipes.join(groups, "recipe", "left").select(
         "doc_id",
