@@ -23,7 +23,7 @@ from pyspark.sql import functions as f
 
 from tripmetrics.llm.shipping import ship
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 CACHED_CHARS = 48
 LONG_TEXT = 1 << 20
 MATCHES_AT_ONCE = 1 << 16
