@@ -29,7 +29,7 @@ from tripmetrics.sources.shared import store
 CAPACITY = 2048
 PARTITION_ITEMS = 60_000
 ROUNDS = 6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 320_000
 CACHED_BYTES = 64
 TEXT_AT_ONCE = 1 << 20
 # Characters for which normalisation and splitting are plain: ASCII and composed Latin letters.
