@@ -80,3 +80,29 @@ def test_odd_documents(odd_docs, no_docs):
     assert pii.fit(no_docs).trees is None
     assert pii.detect(no_docs, model).count() == 0
     assert pii.redact(odd_docs, pii.Model()).columns == odd_docs.columns
+
+
+def test_thresholds_come_from_all_spans(spark):
+    rows = [(i, f"words before m{i}@x.org and {i} after, version {i}.0 of it") for i in range(300)]
+    rows += [(1000, "write 2 jane [at] host [dot] com please")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    model = pii.fit(docs, 40)
+    assert "spelled" in model.thresholds
+    found = spans(pii.detect(docs.filter("doc_id = 1000"), model).collect(), "all_spans")
+    assert found[1000] == [("other", 8, 32)]
+
+
+def test_calibration_counts_every_span():
+    assert pii._threshold([]) == pii.LEAST_THRESHOLD
+    assert pii._threshold([(0.9, 5.0, 5), (0.3, 1.0, 1)]) == 0.3
+    assert pii._threshold([(0.95, 99.0, 100), (0.9, 99.0, 100), (0.85, 10.0, 100)]) == 0.9
+    assert pii._threshold([(0.9, 1.0, 2)]) is None
+
+
+def test_one_label_does_not_stop_proposals(spark):
+    rows = [(1, "1 x"), (2, "jane [at] host [dot] com 1 x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    personal = spark.createDataFrame([(1, "at @ jane (at) host.com")], "doc_id bigint, text string")
+    for some in (docs, personal):
+        found = spans(pii.detect(some, pii.fit(some)).collect(), "all_spans")
+        assert any(kind == "other" for one in found.values() for kind, _, _ in one)

@@ -3,8 +3,8 @@
 Four base kinds are found by their formats and checks and always stay. Besides them, generators
 of high recall propose overlapping spans of other forms: number groups, tokens with digits or an
 at sign, spelled-out addresses. Gradient-boosted trees on format and context score these. The
-trees are learned from labels that the checks give; a threshold per generator is calibrated to a
-precision on rows the trees have not seen. Scoring is a column expression, without a shuffle.
+trees are learned from a bounded draw of labels that the checks give; a threshold per generator is
+calibrated to a precision over all labelled spans. Scoring is a column expression, without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
 
@@ -41,8 +41,7 @@ GENERATORS = {
         r"[A-Za-z0-9-]++(?: ?(?:\.|[\[({] ?[dD][oO][tT] ?[\])}]) ?[A-Za-z0-9-]++)++"
     ),
 }
-#: Bounds of what is learned from: documents drawn, and labelled spans.
-SAMPLE_DOCUMENTS = 40_000
+#: Bound of what the trees are learned from: rows of labelled spans with the same features.
 SAMPLE_SPANS = 20_000
 TREES = 8
 DEPTH = 3
@@ -54,7 +53,9 @@ LEAST_NEW = 7
 
 @dataclass(frozen=True)
 class Model:
-    """Boosted trees and a threshold per generator; a generator without one proposes nothing."""
+    """Boosted trees and a threshold per generator; a generator without one proposes nothing.
+
+    Without trees the label is the score."""
 
     trees: GBTClassificationModel | None = None
     thresholds: dict[str, float] = field(default_factory=dict)
@@ -172,52 +173,99 @@ def _label(value: Column) -> Column:
     return f.when(personal, 1.0).when(other, 0.0)
 
 
-def fit(docs: DataFrame) -> Model:
-    """Trees and thresholds from labelled spans of documents drawn by hash of doc_id.
+def _labelled(docs: DataFrame) -> DataFrame:
+    """Generator, features, label and number ``n`` of the labelled spans of all documents.
 
-    If the spans drawn are all of one label, no generator proposes anything.
+    Spans with the same features score alike, so they are one row, however often they occur.
     """
-    part = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
-    lot = f.pmod(f.xxhash64("doc_id"), f.lit(1 << 30)) / float(1 << 30)
-    spans = (
-        docs.filter((lot < part) & f.col("text").rlike("[0-9@]"))
-        .select("doc_id", f.explode(_candidates(f.col("text"))).alias("span"))
-        .select("doc_id", "span.*")
-        .withColumn("label", _label(f.col("value")))
+    return (
+        docs.filter(f.col("text").rlike("[0-9@]"))
+        .select(f.explode(_candidates(f.col("text"))).alias("span"))
+        .select("span.generator", "span.features", _label(f.col("span.value")).alias("label"))
         .filter("label is not null")
-        .select("generator", "features", "label", (f.xxhash64("doc_id") % 4 == 0).alias("test"))
-        .limit(SAMPLE_SPANS)
+        .groupBy("generator", "features", "label")
+        .agg(f.count("*").alias("n"))
     )
-    spans = store(spans, "labelled").withColumn("vector", array_to_vector("features"))
-    train = spans.filter("not test")
-    if train.select("label").distinct().count() < 2:
-        return Model()
-    trees = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=1
-    ).fit(train)
-    scored = trees.transform(spans.filter("test")).select(
-        "generator", vector_to_array("probability")[1].alias("p"), "label"
+
+
+def _drawn(spans: DataFrame, sample_spans: int) -> DataFrame:
+    """About ``sample_spans`` rows at most, drawn by hash, with the weight of the spans they
+    stand for. Every generator and label has an equal part of the rows, and keeps all of its rows
+    if they are fewer; features of more spans are likelier drawn."""
+    strata = (
+        spans.groupBy("generator", "label")
+        .agg(f.count("*").alias("rows"), f.sum("n").alias("spans"))
+        .collect()
     )
-    thresholds = {}
-    for row in (
-        scored.groupBy("generator")
-        .agg(f.sort_array(f.collect_list(f.struct("p", "label")), asc=False).alias("seen"))
+    most = sample_spans / max(len(strata), 1)
+    chance = f.lit(1.0)
+    for s in strata:
+        if s.rows > most:
+            here = (f.col("generator") == s.generator) & (f.col("label") == s.label)
+            chance = f.when(here, 1 - f.exp(-f.col("n") * (most / s.spans))).otherwise(chance)
+    lot = f.pmod(f.xxhash64("features"), f.lit(1 << 30)) / float(1 << 30)
+    return (
+        spans.withColumn("chance", chance)
+        .filter(lot < f.col("chance"))
+        .select("generator", "features", "label", (f.col("n") / f.col("chance")).alias("weight"))
+    )
+
+
+def _threshold(seen: list[tuple[float, float, int]]) -> float | None:
+    """The lowest score from which on ``PRECISION`` holds, from scores, personal and all spans.
+
+    Without any span the least threshold; with personal data alone, no span seen is left out.
+    """
+    if all(right == n for _, right, n in seen):
+        return min([LEAST_THRESHOLD, *(p for p, _, _ in seen)])
+    good, total, threshold = 0.0, 0, None
+    for p, right, n in sorted(seen, reverse=True):
+        good, total = good + right, total + n
+        if good / total >= PRECISION:
+            threshold = max(p, LEAST_THRESHOLD)
+    return threshold
+
+
+def fit(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
+    """Trees from drawn spans, and thresholds from all labelled spans of all documents.
+
+    If all spans have one label, there are no trees, and labels are proposed themselves.
+    """
+    spans = store(_labelled(docs), "labelled")
+    if spans.select("label").distinct().count() < 2:
+        return Model(None, dict.fromkeys(GENERATORS, LEAST_THRESHOLD))
+    drawn = store(_drawn(spans, sample_spans), "drawn")
+    trees = GBTClassifier(
+        featuresCol="vector",
+        labelCol="label",
+        weightCol="weight",
+        maxIter=TREES,
+        maxDepth=DEPTH,
+        seed=1,
+    ).fit(drawn.withColumn("vector", array_to_vector("features")))
+    scores = (
+        spans.withColumn("p", boosted_probability(trees, f.col("features")))
+        .groupBy("generator", "p")
+        .agg(f.sum(f.col("label") * f.col("n")).alias("personal"), f.sum("n").alias("n"))
         .collect()
-    ):
-        right, threshold = 0.0, None
-        for n, point in enumerate(row.seen, 1):
-            right += point.label
-            if right / n >= PRECISION:
-                threshold = point.p
-        if threshold is not None:
-            thresholds[row.generator] = max(threshold, LEAST_THRESHOLD)
-    return Model(trees, thresholds)
+    )
+    thresholds = {
+        name: _threshold([(r.p, r.personal, r.n) for r in scores if r.generator == name])
+        for name in GENERATORS
+    }
+    return Model(trees, {name: t for name, t in thresholds.items() if t is not None})
 
 
 def proposed_spans(text: Column, model: Model) -> Column:
     """Spans of other forms that reach their generator's threshold, as ``other``."""
-    if model.trees is None or not model.thresholds:
+    if not model.thresholds:
         return _named(none(), len(KINDS), "other")
+
+    def score(c: Column) -> Column:
+        if model.trees is None:
+            return f.coalesce(_label(c["value"]), f.lit(0.0))
+        return boosted_probability(model.trees, c["features"])
+
     scored = f.transform(
         _candidates(text),
         lambda c: f.struct(
@@ -225,7 +273,7 @@ def proposed_spans(text: Column, model: Model) -> Column:
             c["end"].alias("end"),
             c["value"].alias("value"),
             c["generator"].alias("generator"),
-            boosted_probability(model.trees, c["features"]).alias("p"),
+            score(c).alias("p"),
         ),
     )
 
