@@ -106,3 +106,10 @@ def test_one_label_does_not_stop_proposals(spark):
     for some in (docs, personal):
         found = spans(pii.detect(some, pii.fit(some)).collect(), "all_spans")
         assert any(kind == "other" for one in found.values() for kind, _, _ in one)
+
+
+def test_spelled_addresses_without_digits_are_learned(spark):
+    rows = [(i, "write jane [at] host [dot] com please") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    (row,) = pii._labelled(docs).collect()
+    assert (row.generator, row.label, row.n) == ("spelled", 1.0, 3)

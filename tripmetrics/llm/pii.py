@@ -173,13 +173,18 @@ def _label(value: Column) -> Column:
     return f.when(personal, 1.0).when(other, 0.0)
 
 
+def _has_candidates(text: Column) -> Column:
+    """Whether some generator can find a span; null for a null text."""
+    return text.rlike("[0-9@]|[\\[({] ?[aA][tT] ?[\\])}]")
+
+
 def _labelled(docs: DataFrame) -> DataFrame:
     """Generator, features, label and number ``n`` of the labelled spans of all documents.
 
     Spans with the same features score alike, so they are one row, however often they occur.
     """
     return (
-        docs.filter(f.col("text").rlike("[0-9@]"))
+        docs.filter(_has_candidates(f.col("text")))
         .select(f.explode(_candidates(f.col("text"))).alias("span"))
         .select("span.generator", "span.features", _label(f.col("span.value")).alias("label"))
         .filter("label is not null")
@@ -300,7 +305,7 @@ def detect(docs: DataFrame, model: Model) -> DataFrame:
     """
     text = f.coalesce("text", f.lit(""))
     found = docs.drop("base_spans", "all_spans").withColumn("base_spans", base_spans(text))
-    has = f.coalesce(f.col("text").rlike("[0-9@]|[\\[({] ?[aA][tT] ?[\\])}]"), f.lit(False))
+    has = f.coalesce(_has_candidates(f.col("text")), f.lit(False))
     proposed = f.when(has, proposed_spans(text, model)).otherwise(
         _named(none(), len(KINDS), "other")
     )
