@@ -32,6 +32,21 @@ def test_licences(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == len(TEXTS) and licenses.scan(no_docs).count() == 0
 
 
+def test_licences_of_both_cuts(spark):
+    mit = SENTENCES["mit_grant"].replace(" free of charge", ", free\nof charge,")
+    notice = SENTENCES["mit_notice"].replace(" included", "\nincluded")
+    apache = "Copyright 2020 X\nLicensed under the Apache License, Version 2.0\n\n"
+    texts = [
+        f"{apache}{mit}:\n\n{notice}.",
+        f"Copyright 2020 X.\nAll rights reserved\n\n{mit}:\n\n{notice}.",
+        "All rights reserved\nAll rights reserved\n\nAll rights reserved.",
+    ]
+    rows = licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.licenses for r in rows] == ["Apache-2.0,MIT", "MIT,proprietary", "proprietary"]
+    assert rows[0].sentence_ids == "apache_line mit_grant mit_notice"
+    assert [r.n_sentences for r in rows] == [3, 3, 3]
+
+
 def plain_measures(text):
     words = re.findall(r"[^ \t-\r]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^ \t-\r]", x)]

@@ -83,11 +83,28 @@ def normalised(sentence: Column) -> Column:
     return f.trim(f.regexp_replace(f.lower(sentence), "[^a-z0-9]+", " "))
 
 
-def identifiers(text: Column, cut: str) -> Column:
-    """Identifiers of the known sentences of ``text``, in order."""
+def identifiers(text: Column) -> Column:
+    """Identifiers of the known sentences of ``text`` by both cuts, in order.
+
+    Every place where sentences are cut across lines is also one by lines, so each sentence
+    across lines is cut again by lines. One that is a single line counts once.
+    """
     known = f.create_map(*[f.lit(x) for name, s in SENTENCES.items() for x in (s, name)])
-    found = f.transform(f.split(text, cut, -1), lambda s: f.element_at(known, normalised(s)))
-    return f.filter(found, lambda name: name.isNotNull())
+
+    def named(sentence: Column) -> Column:
+        return f.element_at(known, normalised(sentence))
+
+    def both(sentence: Column) -> Column:
+        lines = f.array_compact(f.transform(f.split(sentence, BY_LINES, -1), named))
+
+        def merged(pair: Column) -> Column:
+            whole, inside = pair["whole"], pair["lines"]
+            add = whole.isNotNull() & ~f.coalesce(f.array_contains(inside, whole), f.lit(False))
+            return f.when(add, f.concat(f.array(whole), inside)).otherwise(inside)
+
+        return let(f.struct(named(sentence).alias("whole"), lines.alias("lines")), merged)
+
+    return f.flatten(f.transform(f.split(text, ACROSS_LINES, -1), both))
 
 
 def _pattern(sequence: list[str]) -> str:
@@ -98,15 +115,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, license, licenses, n_sentences, sentence_ids.
 
     ``license`` is that of the first rule that matches (null: none), ``licenses`` all, in the
-    order of the rules, comma-joined. ``sentence_ids`` are those found by lines, or across them
-    if that finds more. Null and empty texts have none. Only doc_id and text are read.
+    order of the rules, comma-joined. ``sentence_ids`` are those found by lines and across them,
+    by their places. Null and empty texts have none. Only doc_id and text are read.
     """
     text = f.coalesce("text", f.lit(""))
-    both = f.array(identifiers(text, BY_LINES), identifiers(text, ACROSS_LINES))
-    longer = let(both, lambda b: f.when(f.size(b[1]) > f.size(b[0]), b[1]).otherwise(b[0]))
     empty = f.array().cast("array<string>")
     ids = docs.select(
-        "doc_id", f.when(text.rlike(HINT), longer).otherwise(empty).alias("ids")
+        "doc_id", f.when(text.rlike(HINT), identifiers(text)).otherwise(empty).alias("ids")
     ).select(
         "doc_id",
         f.size("ids").cast("bigint").alias("n_sentences"),
