@@ -41,7 +41,6 @@ DICTIONARY = (
     "ado|ido|cion|mente|los|las|para|name|user|file|path|data|key|class|index|value|error|list"
 )
 CONTEXT = 32
-SAMPLE_DOCUMENTS = 200_000
 SAMPLE_FINDINGS = 20_000
 TREES = 12
 DEPTH = 4
@@ -104,37 +103,62 @@ def label(finding: Column) -> Column:
     return f.when(secret & (x(13) == 0), 1.0).when(harmless, 0.0)
 
 
-def fit(docs: DataFrame) -> RandomForestClassificationModel | None:
-    """A forest from findings in documents drawn by hash; None if all have one label."""
-    part = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
-    lot = f.pmod(f.xxhash64("doc_id"), f.lit(1 << 30)) / float(1 << 30)
+def _drawn(found: DataFrame, sample_findings: int) -> DataFrame:
+    """About ``sample_findings`` findings at most, drawn by hash, half of them of each label (all
+    of a label with fewer), with the weight of those they stand for."""
+    rows = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
+    chance = f.lit(1.0)
+    for label_, n in rows.items():
+        part = min(1.0, sample_findings / 2 / n)
+        chance = f.when(f.col("label") == label_, part).otherwise(chance)
+    return found.withColumn("weight", 1 / chance).filter(f.col("lot") < chance)
+
+
+def fit(
+    docs: DataFrame, sample_findings: int = SAMPLE_FINDINGS
+) -> RandomForestClassificationModel | None:
+    """A forest from findings drawn from all documents; None if all have one label."""
     text, path = f.coalesce("text", f.lit("")), f.coalesce("source", f.lit(""))
     found = (
-        docs.filter(lot < part)
-        .select(f.explode(_candidates(text, path)).alias("finding"))
-        .select("finding.features", label(f.col("finding")).alias("label"))
+        docs.select("doc_id", f.explode(_candidates(text, path)).alias("finding"))
+        .select(
+            "finding.features",
+            label(f.col("finding")).alias("label"),
+            (f.pmod(f.xxhash64("doc_id", "finding.start"), f.lit(1 << 30)) / float(1 << 30)).alias(
+                "lot"
+            ),
+        )
         .filter("label is not null")
-        .limit(SAMPLE_FINDINGS)
     )
-    findings = store(found, "findings").withColumn("vector", array_to_vector("features"))
-    if findings.select("label").distinct().count() < 2:
+    found = store(found, "findings")
+    if found.select("label").distinct().count() < 2:
         return None
+    drawn = store(_drawn(found, sample_findings), "drawn_findings")
     return RandomForestClassifier(
-        featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=1
-    ).fit(findings)
+        featuresCol="vector",
+        labelCol="label",
+        weightCol="weight",
+        numTrees=TREES,
+        maxDepth=DEPTH,
+        seed=1,
+    ).fit(drawn.withColumn("vector", array_to_vector("features")))
 
 
 def scan(docs: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
     """Per document: doc_id, n_candidates and ``secrets`` (start, end, probability).
 
-    Without a forest a candidate is a secret if it has a known format. Null and empty texts
+    Without a forest a candidate is a secret if it has a known format, or by its label (a varied
+    value assigned to a telling name). Null and empty texts
     have none; a null source is an empty path. Reads doc_id, text and source.
     """
     text, path = f.coalesce("text", f.lit("")), f.coalesce("source", f.lit(""))
     found = docs.select("doc_id", _candidates(text, path).alias("candidates"))
 
     def scored(c: Column) -> Column:
-        p = c["features"][14] if forest is None else forest_probability(forest, c["features"])
+        if forest is None:
+            p = f.greatest(c["features"][14], f.coalesce(label(c), f.lit(0.0)))
+        else:
+            p = forest_probability(forest, c["features"])
         return f.struct(c["start"].alias("start"), c["end"].alias("end"), p.alias("p"))
 
     return found.select(
