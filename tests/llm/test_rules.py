@@ -126,3 +126,16 @@ def test_one_label_keeps_assigned_secrets(spark, dice):
     forest = secrets.fit(docs)
     assert forest is None
     assert all(len(r.secrets) == 1 for r in secrets.scan(docs, forest).collect())
+
+
+def test_passwords_are_candidates(spark):
+    texts = [
+        'password = "Tr0ub4dor&3"', "PWD: a1$B2.c3!D4@e5", "the passwd=>'x9#Kq2'.", "db_password=Tr0ub4dor&3, x",
+        "password: ab1", "a word, Tr0ub4dor&3", f"token = {'0aB' * 8}$x", "password   =    p4$$w0rD",
+    ]
+    found = secrets.scan(docs_of(spark, texts), None).orderBy("doc_id").collect()
+    assert [r.n_candidates for r in found] == [1, 1, 1, 1, 0, 0, 1, 1]
+    values = [t[s.start : s.end] for r, t in zip(found, texts) for s in r.secrets]
+    assert values == [
+        "Tr0ub4dor&3", "a1$B2.c3!D4@e5", "x9#Kq2", "Tr0ub4dor&3", "0aB" * 8, "p4$$w0rD",
+    ]

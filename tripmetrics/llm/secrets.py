@@ -1,6 +1,7 @@
 """Secret scanning, in DataFrame functions only.
 
-Candidates are long runs of key characters. A random forest, trained on labelled findings,
+Candidates are long runs of key characters, and values of 6 or more characters without a space or
+quote that are assigned to a telling name. A random forest, trained on labelled findings,
 removes false positives by length, character transitions, dictionary coverage, path (the
 document's source) and neighbouring words. The forest is scored as a column expression.
 """
@@ -18,19 +19,27 @@ from tripmetrics.llm.spans import find, none
 from tripmetrics.llm.trees import forest_probability
 from tripmetrics.sources.shared import store
 
-CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
-    r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-)
 KNOWN = (
     r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
     r"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|-----BEGIN .*)$"
 )
 NAMES = (
-    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer"
-    r"|credential)s?"
+    r"(?i:(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer"
+    r"|credential)s?)"
 )
 ASSIGNED = NAMES + r"[\"']?\s*(?:[:=]|=>)\s*[\"']?$"
+VALUE = r"[^\s\"']{5,}[^\s\"'.,;:)\]}]"
+#: A run of key characters comes first, so it is the same candidate with a name before it or not.
+#: The short look behind spares most places the long one, whose length must be bounded.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+    r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+    rf"|(?<=[:=>\s\"'])(?<={NAMES}[\"']?\s{{0,16}}(?:[:=]|=>)\s{{0,16}}[\"']?){VALUE}"
+)
+GATE = (
+    r"[A-Za-z0-9+/_-]{16}|PRIVATE KEY"
+    rf"|{NAMES}[\"']?\s{{0,16}}(?:[:=]|=>)\s{{0,16}}[\"']?{VALUE}"
+)
 HARMLESS = r"(?i)(?:sha(?:1|256|512)?|md5|commit|digest|checksum|uuid|etag|revision)[\"' :=]*$"
 PLACEHOLDER = r"(?i)example|sample|dummy|test|placeholder|change_?me|your[_-]|xxxx|0{8}|1234567"
 TEST_PATH = r"(?i)test|example|fixture|mock|demo|doc"
@@ -77,8 +86,7 @@ def _features(value: Column, before: Column, after: Column, path: Column) -> Col
 
 
 def _candidates(text: Column, path: Column) -> Column:
-    gate = text.rlike(r"[A-Za-z0-9+/_-]{16}|PRIVATE KEY")
-    spans = f.when(gate, find(text, CANDIDATE)).otherwise(none())
+    spans = f.when(text.rlike(GATE), find(text, CANDIDATE)).otherwise(none())
 
     def described(span: Column) -> Column:
         first = f.greatest(span["start"] - CONTEXT, f.lit(0))
