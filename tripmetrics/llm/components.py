@@ -30,7 +30,7 @@ def component_labels(links: DataFrame) -> DataFrame:
         )
         if pointers.isEmpty():
             break
-        pointers = _follow(pointers)
+        pointers = follow(pointers)
         rounds.append(pointers)
         # each end of a link is replaced in its own join
         first = pointers.select(f.col("node").alias("a"), f.col("to").alias("to_a"))
@@ -55,7 +55,7 @@ def component_labels(links: DataFrame) -> DataFrame:
     return reduce(deeper, rounds[1:], rounds[0].withColumnRenamed("to", "label"))
 
 
-def _follow(pointers: DataFrame) -> DataFrame:
+def follow(pointers: DataFrame) -> DataFrame:
     """Every node pointing to the end of its chain; the length of chains halves per round."""
     while True:
         target = pointers.select(f.col("node").alias("to"), f.col("to").alias("end"))

@@ -164,6 +164,31 @@ ORACLE: dict[str, str] = {
           doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM normalised WINDOW same AS (PARTITION BY norm)""",
     "op3_warc": _archives(),
+    "op11_url_filter": r"""
+        WITH rest AS (
+          SELECT page_id, CASE WHEN contains(url, '://')
+            THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ),
+        located AS (
+          SELECT page_id,
+            translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+        ),
+        ruled AS (
+          SELECT page_id, host, path, CASE
+            WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/')
+              THEN 'www.example.com/en/'
+            WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/')
+              THEN 'example.com/en/'
+            WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+            WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+            WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+          FROM located
+        )
+        SELECT page_id, host, path, rule,
+          CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END
+            AS verdict FROM ruled""",
     "op6_license_scan": _licenses(),
     "op8_quality_rules": _quality(),
 }

@@ -18,6 +18,8 @@ from tripmetrics.llm import (
     quality,
     secrets,
     simhash,
+    spelling,
+    urls,
     warc,
 )
 from tripmetrics.llm.oracle import ORACLE
@@ -115,6 +117,27 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("com", "/", urls.ALLOW),
+    ("example.com", "/en/", urls.BLOCK),
+    ("www.example.com", "/en/", urls.ALLOW),
+    ("net", "/es/", urls.BLOCK),
+    ("net", "/fr/", urls.BLOCK),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's url."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, urls.RULES)
+    return urls.judge(pages, rules).drop("url")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their near words, forms and roots."""
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -126,4 +149,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
+    "op11_url_filter": op11_url_filter,
+    "op13_spelling_variants": op13_spelling_variants,
 }
