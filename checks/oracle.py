@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from checks.registry import LAST_MONTH, PREVIEW_ROWS, TOP_ZONES
 from checks.trip_frame import DRIFT_YEAR
-from tripmetrics.schemas import CLEAN, STANDARD
 
 # One trip per lineitem row.
 _TRIPS = f"""
@@ -128,6 +127,30 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
+# The columns of a standard trip, with their types.
+_STANDARD = {
+    "VendorID": "int",
+    "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "bigint",
+    "trip_distance": "double",
+    "RatecodeID": "bigint",
+    "store_and_fwd_flag": "string",
+    "PULocationID": "int",
+    "DOLocationID": "int",
+    "payment_type": "bigint",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "Airport_fee": "double",
+    "cbd_congestion_fee": "double",
+}
+
 _FROM_TRIPS = _with(_TRIPS)
 _FROM_RENAMED = _with(_TRIPS, _ZONES, _RENAMED)
 _FROM_PREPARED = _with(_TRIPS, _RENAMED, _PREPARED)
@@ -141,7 +164,12 @@ _FROM_CLEANED = _with(
     _derived("tidy", "kept"),
     _enriched("cleaned", "tidy"),
 )
-_CLEAN_LIST = ", ".join(CLEAN.names)
+_CLEAN_LIST = """Vendor_ID, Vendor_Name, Trip_Pickup_DateTime, Trip_Dropoff_DateTime, passenger_count,
+    Pickup_Location_ID, Pickup_Borough, Pickup_Zone, Pickup_Service_Zone, Dropoff_Location_ID,
+    Dropoff_Borough, Dropoff_Zone, Dropoff_Service_Zone, Trip_Distance_Km, trip_distance_miles,
+    Ratecode_ID, Ratecode_Description, payment_type, Payment_Method, trip_duration_min,
+    fare_amount, extra_charges, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+    total_amount, congestion_surcharge, Airport_fee, cbd_congestion_fee, Year, Month"""
 _CLEANED = f"{_FROM_CLEANED} SELECT {_CLEAN_LIST} FROM cleaned"
 
 
@@ -161,13 +189,12 @@ def _profile() -> str:
         ("legacy", f"year(tpep_pickup_datetime) < {DRIFT_YEAR}"),
         ("current", f"year(tpep_pickup_datetime) >= {DRIFT_YEAR}"),
     ):
-        for column in STANDARD:
-            target = column.dataType.simpleString()
-            source = legacy_types.get(column.name, target) if half == "legacy" else target
-            nulls = f"count(*) - count({column.name})"
-            unfit = half == "legacy" and column.name in never_null
+        for name, target in _STANDARD.items():
+            source = legacy_types.get(name, target) if half == "legacy" else target
+            nulls = f"count(*) - count({name})"
+            unfit = half == "legacy" and name in never_null
             selects.append(
-                f"SELECT '{half}' AS source_group, '{column.name}' AS column_name, "
+                f"SELECT '{half}' AS source_group, '{name}' AS column_name, "
                 f"'{source}' AS source_type, '{target}' AS target_type, "
                 f"count(*) AS row_count, {'0' if unfit else nulls} AS null_count, "
                 f"{nulls if unfit else '0'} AS lost_count FROM trips WHERE {condition}"
@@ -257,6 +284,10 @@ ORACLE: dict[str, str] = {
         ON LocationID = PULocationID""",
     "sink_parquet_roundtrip": _CLEANED,
     "copy_parquet": "SELECT * FROM lineitem",
+    "copy_mixed_folder": _ALL_TRIPS,
+    "published_versions": _CLEANED,
+    "update_one_year": f"""{_CLEANED} WHERE Year IN (1995, 1997)
+        OR (Year IN (1993, 1996) AND payment_type < 4)""",
     "external_table_sql": _BOROUGHS,
     "external_table_revenue_sql": _REVENUE,
     "external_table_count_sql": f"{_FROM_CLEANED} SELECT count(*) AS row_count FROM cleaned",
@@ -317,7 +348,7 @@ ORACLE: dict[str, str] = {
         round(100.0::DOUBLE * (count(*) - count(*) FILTER (WHERE {_RULES})) / count(*), 2)
           AS dropped_pct FROM prepared""",
     "preview_limit": f"""{_CLEANED} ORDER BY
-        {", ".join(f"{name} ASC NULLS LAST" for name in CLEAN.names)} LIMIT {PREVIEW_ROWS}""",
+        {", ".join(f"{name} ASC NULLS LAST" for name in _CLEAN_LIST.replace("\n", "").split(","))} LIMIT {PREVIEW_ROWS}""",
     "borough_summary": _BOROUGHS,
     "monthly_revenue": _REVENUE,
     "kpi_totals": f"""{_FROM_CLEANED} SELECT count(*) AS trip_count,

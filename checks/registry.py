@@ -36,6 +36,7 @@ from tripmetrics.schemas import (
 from tripmetrics.sources import (
     copy_parquet,
     load_year,
+    publish_table,
     read_months,
     read_table,
     read_zones,
@@ -151,6 +152,35 @@ def copy_parquet_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def copy_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw months of both layouts in one folder, copied and read again."""
+    path = shared_path(spark, "mixed_copy")
+    copy_parquet(spark, raw_root(spark, sf_dir), path)
+    return read_months(spark, [path])
+
+
+def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published three times; it shows the last version, of which two are kept."""
+    root, table = shared_path(spark, "versions"), _table_name()
+    cleaned = _cleaned(spark, sf_dir)
+    publish_table(cleaned.filter("Year < 1999"), table, root)
+    publish_table(spark.table(table).filter("Year < 1995"), table, root)
+    publish_table(cleaned, table, root)
+    return spark.table(table)
+
+
+def update_one_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some years cleaned again over a table with a folder per year, which had other rows."""
+    staged, path, table = shared_path(spark, "staged"), shared_path(spark, "cleaned"), _table_name()
+    jobs.stage(spark, [raw_root(spark, sf_dir)], staged)
+    config = jobs.JobConfig([], _zones_csv(spark, sf_dir), staged, path, table, ["Year"])
+    before = _cleaned(spark, sf_dir).filter(f.col("Year").isin(1993, 1995, 1996) & (f.col("payment_type") < 4))
+    write_table(before, path, ["Year"])
+    register_table(spark, table, path, ["Year"])
+    jobs.clean_years(spark, config, [1995, 1997])
+    return spark.table(table).select(*CLEAN.names)
+
+
 def _table_name() -> str:
     return f"cleaned_{uuid.uuid4().hex}"
 
@@ -359,6 +389,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv_dimension": scan_csv_dimension,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "copy_parquet": copy_parquet_table,
+    "copy_mixed_folder": copy_mixed_folder,
+    "published_versions": published_versions,
+    "update_one_year": update_one_year,
     "write_counts": write_counts,
     "external_table_sql": external_table_sql,
     "external_table_revenue_sql": external_table_revenue_sql,

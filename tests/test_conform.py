@@ -127,3 +127,35 @@ def test_decimals_fit_or_become_null(spark):
     rows = conform(source, target).collect()
     assert [None if r.small is None else float(r.small) for r in rows] == [None, 12.0]
     assert [r.large for r in rows] == [9223372036854775807, None]
+
+
+SOURCES = ["decimal(5,2)", "decimal(10,0)", "decimal(20,3)", "decimal(38,0)", "decimal(38,38)", "decimal(38,10)", "int", "bigint", "double", "float", "string"]
+TARGETS = ["decimal(3,0)", "decimal(5,2)", "decimal(18,4)", "decimal(38,0)", "decimal(38,2)", "smallint", "int", "bigint", "double"]
+
+
+def edges(kind):
+    """Values around every bound of the targets, as far as the source type holds them."""
+    whole = [0, 1, 999, 1000, 2**15, 2**31, 2**63, 10**10, 10**14, 10**18, 10**36, 10**38 - 1]
+    parts = ["0", "0.5", "0.4", "0.005", "0.0049", "0.99", "0.995", "0.99995", "0.99994999"]
+    numbers = {Decimal(w) + Decimal(d) * s for w in whole for d in (-1, 0, 1) for s in map(Decimal, parts)}
+    return [str(n * sign) for n in numbers for sign in (1, -1)] + ([] if "decimal" in kind else ["nan", "1e300", "-1e300"])
+
+
+@pytest.mark.parametrize("kind", SOURCES)
+def test_bounds_give_what_a_tried_cast_gives(spark, kind):
+    from pyspark.sql import functions as f
+
+    from tripmetrics.functions import fitting_cast
+
+    text = spark.createDataFrame([(e,) for e in edges(kind)], "e string")
+    values = text.select(f.col("e").try_cast(kind).alias("v")).filter("v is not null").distinct()
+    source = values.schema["v"].dataType
+    for target in TARGETS:
+        wanted = spark.createDataFrame([], f"x {target}").schema["x"].dataType
+        if source == wanted:
+            continue
+        found, tried = fitting_cast(f.col("v"), source, wanted), f.col("v").try_cast(wanted)
+        differing = values.filter(~found.eqNullSafe(tried)).select("v", found.alias("found"), tried.alias("tried")).collect()
+        # a tried cast takes the double 2 ** 63 for 2 ** 63 - 1
+        differing = [row for row in differing if kind not in ("double", "float") or row.v != 2.0**63]
+        assert not differing, (kind, target, differing[:3])

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from tests.conftest import plan_of
 from tripmetrics.plans import metrics
 from tripmetrics.plans.jobs import clean
 
@@ -106,3 +107,35 @@ def test_rule_rejects(spark):
     rows = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (None, 1)], "a int, b int")
     found = rule_rejects(rows, {"a": f.col("a") > 0, "b": f.col("b") > 0}).collect()
     assert [tuple(row) for row in found] == [("a", 3, 2), ("b", 1, 0)]
+
+
+def test_share_of_a_million_keys_stays_in_several_tasks(spark):
+    from tripmetrics.plans.metrics import share
+
+    rows = spark.range(0, 1_000_000, 1, 4).selectExpr("id AS k")
+    result = share(rows, "k")
+    plan = plan_of(result)
+    assert "SinglePartition" not in plan.split("Subqueries")[0].split("Subquery")[0] and "Window" not in plan
+    assert result.selectExpr("count(*) AS n", "round(sum(share_pct), 6) AS whole").first() == (1_000_000, 100.0)
+
+
+def test_exact_mean_does_not_depend_on_the_order(spark):
+    import math
+    import random
+
+    from tripmetrics.functions import exact_mean
+
+    dice = random.Random(5)
+    values = [dice.choice([-1, 1]) * dice.random() * 10 ** dice.randint(-6, 11) for _ in range(3000)]
+    values += [0.1, 0.2, 0.3, -2.5, 1e11, -1e11, 0.0, None, float("nan")]
+    real = [v for v in values if v is not None and v == v]
+    found = set()
+    for parts in (1, 3, 7):
+        dice.shuffle(values)
+        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+        found.add(frame.agg(exact_mean("x")).first()[0])
+    assert len(found) == 1
+    assert found.pop() == pytest.approx(math.fsum(real) / len(real), rel=1e-15)
+    large = spark.createDataFrame([(1e200,), (3.0,), (-1e200,)], "x double")
+    assert abs(large.agg(exact_mean("x")).first()[0] - 1) < 1e185
+    assert large.limit(0).agg(exact_mean("x")).first()[0] is None

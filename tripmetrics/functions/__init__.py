@@ -3,6 +3,7 @@
 from tripmetrics.functions.expressions import (
     code_label,
     duration_minutes,
+    exact_mean,
     fitting_cast,
     kilometres,
     month_label,
@@ -12,6 +13,7 @@ from tripmetrics.functions.expressions import (
 __all__ = [
     "code_label",
     "duration_minutes",
+    "exact_mean",
     "fitting_cast",
     "kilometres",
     "month_label",

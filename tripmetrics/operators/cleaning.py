@@ -8,6 +8,7 @@ from pyspark.sql import functions as f
 from tripmetrics.functions import (
     code_label,
     duration_minutes,
+    exact_mean,
     kilometres,
     month_label,
     without_nan,
@@ -37,7 +38,7 @@ def impute_mean(df: DataFrame, column: str, mean: float | None = None) -> DataFr
     one column, and reaches the row side as a constant, so there is no join. Call it before
     filtering.
     """
-    value = df.agg(f.avg(without_nan(column))).scalar() if mean is None else f.lit(mean)
+    value = df.agg(exact_mean(column)).scalar() if mean is None else f.lit(mean)
     return df.withColumn(column, f.coalesce(without_nan(column), value))
 
 

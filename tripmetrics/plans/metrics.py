@@ -6,10 +6,10 @@ and each task shuffles one partial row per group, however many trips share a key
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
 
-from tripmetrics.functions import without_nan
+from tripmetrics.functions import exact_mean
 
 SURCHARGES = (
     "extra_charges",
@@ -48,16 +48,17 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def global_mean(df: DataFrame, column: str) -> DataFrame:
     """The mean of a column; missing values and NaN do not count, as in the imputation."""
-    return df.agg(f.avg(without_nan(column)).alias(f"mean_{column}"))
+    return df.agg(exact_mean(column).alias(f"mean_{column}"))
 
 
 def share(df: DataFrame, key: str, *measures: Column) -> DataFrame:
     """Trips per key and their percentage of all trips.
 
-    For labels and dimension attributes: the aggregated rows, one per key, meet in one window.
+    The total is a scalar over the aggregated rows, which both read from one exchange; they are
+    never gathered, however many keys there are.
     """
     counts = df.groupBy(key).agg(_trips(), *measures)
-    everything = f.sum("trip_count").over(Window.partitionBy())
+    everything = counts.agg(f.sum("trip_count")).scalar()
     percent = f.lit(100.0) * f.col("trip_count") / everything
     return _busiest_first(counts.withColumn("share_pct", percent), key)
 

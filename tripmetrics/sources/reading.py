@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,61 +33,93 @@ def read_months(
     that only some files of a folder have is read from those. Partition folders are only
     folders here.
     """
-    files = sorted(
+    return union_all(
+        [
+            conform(spark.read.schema(found).parquet(*members), schema)
+            for found, members in layouts(spark, data_files(spark, paths))
+        ]
+    )
+
+
+def data_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """All files at or below the paths, sorted; none is an error."""
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(list(dict.fromkeys(paths)))
         .inputFiles()
     )
+    files = sorted(unquote(file) for file in found)  # they come as encoded URIs
     if not files:
         raise ValueError(f"no files at {paths}")
-    return union_all(
-        [
-            conform(spark.read.schema(found).parquet(*members), schema)
-            for found, members in _layouts(spark, files)
-        ]
-    )
+    return files
 
 
 _CONFLICTS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
+#: Files whose footers are told apart one by one; longer stretches are first tried as one layout.
+STRETCH = 2048
+_FOOTERS_AT_ONCE = 32
 
 
-def _layouts(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
+def layouts(
+    spark: SparkSession, files: list[str], stretch: int = STRETCH
+) -> list[tuple[StructType, list[str]]]:
     """Groups of files whose schemas merge, with the merged schema.
 
-    Files in order of their names drift at a few places. A stretch whose first and last file
-    agree is read as one: Spark opens all its footers in one distributed job. Other stretches,
-    and one in which a file between disagrees, are halved. So the jobs grow with the logarithm
-    of the files; only files that alternate between layouts take a job each.
+    Of a stretch of at most ``stretch`` files, the footers are read by threads of the driver, and
+    files with equal ones are one layout; Spark infers a schema once a layout. Files that alternate
+    between layouts cost no more than others. A longer stretch is read as one if its footers merge,
+    which one distributed job over all of them finds out, and halved if they do not.
     """
-    known: dict[str, StructType] = {}
-
-    def footer(file: str) -> StructType:
-        if file not in known:
-            known[file] = spark.read.parquet(file).schema
-        return known[file]
-
     groups: list[tuple[StructType, list[str]]] = []
     waiting = [files]
     while waiting:
-        stretch = waiting.pop()
-        found = _merged(footer(stretch[0]), footer(stretch[-1]))
-        if found is not None and len(stretch) > 2:
-            found = _all_footers(spark, stretch)
-        if found is None:
-            middle = len(stretch) // 2
-            waiting += [stretch[middle:], stretch[:middle]]
+        part = waiting.pop()
+        if len(part) <= stretch:
+            for members in _by_footer(spark, part):
+                _add(groups, spark.read.parquet(members[0]).schema, members)
             continue
-        for number, (schema, members) in enumerate(groups):
-            merged = _merged(schema, found)
-            if merged is not None:
-                groups[number] = (merged, members + stretch)
-                break
+        found = _all_footers(spark, part)
+        if found is None:
+            middle = len(part) // 2
+            waiting += [part[middle:], part[:middle]]
         else:
-            groups.append((found, stretch))
+            _add(groups, found, part)
     return groups
 
 
+def _add(
+    groups: list[tuple[StructType, list[str]]], schema: StructType, members: list[str]
+) -> None:
+    for number, (known, others) in enumerate(groups):
+        merged = _merged(known, schema)
+        if merged is not None:
+            groups[number] = (merged, others + members)
+            return
+    groups.append((schema, members))
+
+
+def _by_footer(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """The files in groups of equal footer schemas, in the order of their first files."""
+    jvm = spark.sparkContext._jvm
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+
+    def footer(file: str) -> str:
+        place = jvm.org.apache.hadoop.fs.Path(file)
+        opened = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(place, settings)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(opened)
+        try:
+            return reader.getFileMetaData().getSchema().toString()
+        finally:
+            reader.close()
+
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(_FOOTERS_AT_ONCE) as threads:
+        for file, found in zip(files, threads.map(footer, files)):
+            groups.setdefault(found, []).append(file)
+    return list(groups.values())
+
+
 def _all_footers(spark: SparkSession, files: list[str]) -> StructType | None:
     """The merged schema of all files, or None if they do not merge."""
     try:
@@ -110,12 +145,16 @@ def load_year(spark: SparkSession, template: str, year: int, last_month: int) ->
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A folder of parquet files of one schema.
+    """A folder of parquet files whose schemas merge.
 
     With ``schema`` no footer is opened and columns kept in folder names get their declared
-    types; without it those are guessed from the names.
+    types. Without it all footers are read, in one distributed job, so a column that only some
+    files have is there; types of folder columns are guessed from the names. Files whose types
+    differ are an error here, and a case for ``read_months``.
     """
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
