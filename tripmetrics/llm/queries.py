@@ -10,6 +10,7 @@ from pyspark.sql import functions as f
 
 from tripmetrics.llm import (
     bpe,
+    conversations,
     exact_dedup,
     language,
     licenses,
@@ -23,7 +24,7 @@ from tripmetrics.llm import (
     warc,
 )
 from tripmetrics.llm.oracle import ORACLE
-from tripmetrics.sources.shared import shared_path
+from tripmetrics.sources.shared import shared_path, store
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -88,8 +89,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of secrets in every document."""
-    docs = documents(spark, sf_dir)
-    found = secrets.scan(docs, secrets.fit(docs))
+    candidates = store(secrets.find_candidates(documents(spark, sf_dir)), "candidates")
+    found = secrets.scan_candidates(candidates, secrets.fit_candidates(candidates))
     return found.select(
         "doc_id",
         "n_candidates",
@@ -133,6 +134,11 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).drop("url")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return conversations.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of all documents with their near words, forms and roots."""
     return spelling.group_variants(documents(spark, sf_dir))
@@ -150,5 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op11_url_filter": op11_url_filter,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
