@@ -29,7 +29,7 @@ MIN_COUNT = 3
 #: A run whose checksum with its document this divides loses a code point, as a typing error.
 ERROR_EVERY = 97
 #: Distinct words that a task counts before it passes the counts on.
-COUNTED_AT_ONCE = 200_000
+COUNTED_AT_ONCE = 100_000
 LONG_TEXT = 1 << 20
 _RUN = re.compile("[a-zÀ-ÿ]+")
 PARTS = 4
@@ -60,7 +60,7 @@ def word_counts(
     """word, n: words of at least ``min_length`` letters that all texts together hold ``min_count``
     times. A null text has none, a null doc_id counts as empty. Repeated rows count each.
 
-    Tasks send a row per word and some 200,000 distinct words, so frequent ones cost little.
+    Tasks send a row per word and some 100,000 distinct words, so frequent ones cost little.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
