@@ -1,0 +1,65 @@
+"""Spans by Python's own expressions, and texts with very many matches in bounded time."""
+
+import re
+import time
+
+import pytest
+from pyspark.sql import functions as f
+
+from tripmetrics.llm import spans
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize("pattern, group", [("[0-9]+", 0), ("a(b+)", 1), ("🙂|x", 0), (r"(?<=[ab])\d", 0)])
+def test_places(spark, dice, pattern, group):
+    texts = ["".join(dice.choice("ab0 🙂x1é\n") for _ in range(dice.randint(0, 1500))) for _ in range(40)]
+    texts += ["", "1", "abbb", "1a1", "🙂", "ab" * 2000]
+    rows = frame(spark, texts).select("doc_id", spans.find(f.col("text"), pattern, group).alias("s")).collect()
+    for row in rows:
+        expected = [(m.start(group), m.end(group), m[group]) for m in re.finditer(pattern, texts[row.doc_id])]
+        assert [tuple(s) for s in row.s] == expected
+
+
+def test_pieces_of_text(spark, dice):
+    text = "".join(dice.choice("ab🙂é\n") for _ in range(20_000))
+    places = [(0, 0), (0, 20_000), (4096, 8192), (4095, 4097), (0, 4096), (19_999, 20_000), (20_000, 20_000), (5, 12_300)]
+    places += [tuple(sorted((dice.randint(0, 20_000), dice.randint(0, 20_000)))) for _ in range(60)]
+    asked = spark.createDataFrame([(text, places)], "text string, places array<struct<s:int,e:int>>")
+    found = asked.select(
+        spans.let(spans.pieces(f.col("text")), lambda cut: f.transform("places", lambda p: spans.between(cut, p.s, p.e)))
+    ).first()[0]
+    assert found == [text[s:e] for s, e in places]
+
+
+def test_shared_characters(spark, dice):
+    def some(n):
+        return [(s, s + dice.randint(1, 12)) for s in (dice.randint(0, 300) for _ in range(n))]
+
+    rows = [(i, some(dice.randint(0, 40)), some(dice.choice([0, 1, 30, 400]))) for i in range(60)]
+    kind = "array<struct<start:int,end:int>>"
+    table = spark.createDataFrame(rows, f"i int, a {kind}, b {kind}")
+    for row in table.select("i", spans.covered(f.col("a"), f.col("b")).alias("n")).collect():
+        _, a, b = rows[row.i]
+        assert row.n == [sum(max(0, min(e, y) - max(s, x)) for x, y in b) for s, e in a]
+
+
+def test_running_states(spark, dice):
+    lists = [[dice.randint(-5, 9) for _ in range(n)] for n in (0, 1, 2, 255, 256, 257, 512, 513, 3000)]
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<int>")
+    sums = spans.running_sums(f.col("x"))
+    most = spans.let(f.col("x"), lambda x: spans.running(x, f.lit(-9), f.greatest))
+    for row in table.select("i", sums.alias("s"), most.alias("m")).collect():
+        x = lists[row.i]
+        assert row.s == [sum(x[: k + 1]) for k in range(len(x))]
+        assert row.m == [max(x[: k + 1]) for k in range(len(x))]
+
+
+def test_a_hundred_thousand_matches(spark):
+    texts = frame(spark, ["a1 " * 100_000])
+    find = texts.select(f.size(spans.find(f.col("text"), "[0-9]")))
+    start = time.perf_counter()
+    assert find.first()[0] == 100_000
+    assert time.perf_counter() - start < 20

@@ -3,8 +3,10 @@
 Four base kinds are found by their formats and checks and always stay. Besides them, generators
 of high recall propose overlapping spans of other forms: number groups, tokens with digits or an
 at sign, spelled-out addresses. Gradient-boosted trees on format and context score these. The
-trees are learned from a bounded draw of labels that the checks give; a threshold per generator is
-calibrated to a precision over all labelled spans. Scoring is a column expression, without a shuffle.
+trees are learned from a bounded draw of spans, labelled by the base checks, by telling words before
+them and by their spelling. A threshold per generator is calibrated to a precision over all spans
+that would be added to the base ones: a number that fails its check and has no telling word before
+it counts as wrong. Scoring is a column expression, without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as f
 
-from tripmetrics.llm.spans import digits, find, let, luhn, none
+from tripmetrics.llm.spans import between, covered, digits, distinct_sorted, find, let, luhn, none, pieces, running
 from tripmetrics.llm.trees import boosted_probability
 from tripmetrics.sources.shared import store
 
@@ -41,13 +43,19 @@ GENERATORS = {
         r"[A-Za-z0-9-]++(?: ?(?:\.|[\[({] ?[dD][oO][tT] ?[\])}]) ?[A-Za-z0-9-]++)++"
     ),
 }
+#: Words that tell that personal data follows.
+TELLING = (
+    r"(?i)(?<![A-Za-z])(?:card|visa|mastercard|amex|credit|account|acct|iban|ssn|passport|phone"
+    r"|tel|telephone|mobile|cell|fax|call|e-?mail|mail|contact|address|ip|login|user)s?"
+    r"[^A-Za-z0-9]{0,4}(?:(?:no|nr|number|is|at)[^A-Za-z0-9]{1,4}){0,2}$"
+)
 #: Bound of what the trees are learned from: rows of labelled spans with the same features.
 SAMPLE_SPANS = 20_000
 TREES = 8
 DEPTH = 3
 PRECISION = 0.98
 LEAST_THRESHOLD = 0.8
-CONTEXT = 16
+CONTEXT = 32
 LEAST_NEW = 7
 
 
@@ -55,10 +63,12 @@ LEAST_NEW = 7
 class Model:
     """Boosted trees and a threshold per generator; a generator without one proposes nothing.
 
-    Without trees the label is the score."""
+    Without trees the label is the score. ``added`` has, per generator, the labelled spans beyond the
+    base ones that reach the threshold, and how many of them are personal data by their label."""
 
     trees: GBTClassificationModel | None = None
     thresholds: dict[str, float] = field(default_factory=dict)
+    added: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 def base_spans(text: Column) -> Column:
@@ -121,56 +131,79 @@ def _features(value: Column, before: Column, after: Column, generator: int) -> C
         flag(before.rlike("[A-Za-z]{2,}[,.]? $")),
         flag(before.rlike("(?i)(version|v|page|section|no)[. ]*$")),
         flag(after.rlike("^[A-Za-z0-9\"'%]")),
+        flag(before.rlike(TELLING)),
     )
 
 
 def _candidates(text: Column) -> Column:
-    """Proposed spans with generator, value and features."""
+    """Proposed spans with generator, value, features, label, and whether a base check accepts it."""
     gates = {
         "number": text.rlike("[0-9]"),
         "token": text.rlike("[0-9@]"),
         "spelled": text.rlike(r"[\[({] ?[aA][tT] ?[\])}]"),
     }
-    parts = [
-        f.transform(
-            f.when(gates[name], find(text, pattern)).otherwise(none()),
-            _described(text, number, name),
+    found = f.struct(
+        *[
+            f.when(gates[name], find(text, pattern)).otherwise(none()).alias(name)
+            for name, pattern in GENERATORS.items()
+        ]
+    )
+
+    def all_described(spans: Column, cut: Column) -> Column:
+        return f.concat(
+            *[
+                f.transform(spans[name], _described(cut, number, name))
+                for number, name in enumerate(GENERATORS)
+            ]
         )
-        for number, (name, pattern) in enumerate(GENERATORS.items())
-    ]
-    return f.concat(*parts)
+
+    return let(
+        found,
+        lambda spans: let(pieces(text), lambda cut: all_described(spans, cut)),
+    )
 
 
-def _described(text: Column, number: int, name: str) -> Callable[[Column], Column]:
+def _described(cut: Column, number: int, name: str) -> Callable[[Column], Column]:
     def described(span: Column) -> Column:
-        first = f.greatest(span["start"] - CONTEXT, f.lit(0))
-        before = f.substring(text, first + 1, span["start"] - first)
-        after = f.substring(text, span["end"] + 1, f.lit(CONTEXT))
+        around = f.struct(
+            between(cut, f.greatest(span["start"] - CONTEXT, f.lit(0)), span["start"]).alias("before"),
+            between(cut, span["end"], span["end"] + CONTEXT).alias("after"),
+            _accepted(span["value"]).alias("base"),
+        )
+        return let(around, lambda a: judged(span, a))
+
+    def judged(span: Column, around: Column) -> Column:
+        value, before = span["value"], around["before"]
         return f.struct(
             span["start"].alias("start"),
             span["end"].alias("end"),
             f.lit(name).alias("generator"),
-            span["value"].alias("value"),
-            _features(span["value"], before, after, number).alias("features"),
+            value.alias("value"),
+            _features(value, before, around["after"], number).alias("features"),
+            (around["base"] | _label_beyond(value, before)).cast("double").alias("label"),
+            around["base"].alias("base"),
         )
 
     return described
 
 
-def _label(value: Column) -> Column:
-    """1: holds what a base check accepts. 0: too few digits for personal data, or an assigned
-    or quoted value. Null, unlabelled: number groups whose check fails, for instance."""
+def _accepted(value: Column) -> Column:
+    """Whether the value holds what a base check accepts."""
     number = digits(value)
     size = f.length(number)
-    personal = (
+    return (
         value.rlike(EMAIL)
         | value.rlike(rf"^{_ADDRESS}\W*$")
         | (value.rlike(r"^\W*\+[0-9]") & size.between(10, 15))
         | (value.rlike(r"^\W*[0-9][0-9 -]*[0-9]\W*$") & size.between(14, 19) & luhn(number))
-        | value.rlike(GENERATORS["spelled"])
     )
-    other = ((size < 7) & ~value.contains("@")) | value.rlike("[\"'=]")
-    return f.when(personal, 1.0).when(other, 0.0)
+
+
+def _label_beyond(value: Column, before: Column) -> Column:
+    """Whether a span that no base check accepts is personal: a spelled-out address, or enough digits
+    or an at sign with a telling word before it."""
+    told = before.rlike(TELLING) & ((f.length(digits(value)) >= LEAST_NEW) | value.contains("@"))
+    return value.rlike(GENERATORS["spelled"]) | told
 
 
 def _has_candidates(text: Column) -> Column:
@@ -179,16 +212,15 @@ def _has_candidates(text: Column) -> Column:
 
 
 def _labelled(docs: DataFrame) -> DataFrame:
-    """Generator, features, label and number ``n`` of the labelled spans of all documents.
+    """Generator, features, label, base and number ``n`` of the spans of all documents.
 
     Spans with the same features score alike, so they are one row, however often they occur.
     """
     return (
         docs.filter(_has_candidates(f.col("text")))
         .select(f.explode(_candidates(f.col("text"))).alias("span"))
-        .select("span.generator", "span.features", _label(f.col("span.value")).alias("label"))
-        .filter("label is not null")
-        .groupBy("generator", "features", "label")
+        .select("span.generator", "span.features", "span.label", "span.base")
+        .groupBy("generator", "features", "label", "base")
         .agg(f.count("*").alias("n"))
     )
 
@@ -232,7 +264,7 @@ def _threshold(seen: list[tuple[float, float, int]]) -> float | None:
 
 
 def fit(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
-    """Trees from drawn spans, and thresholds from all labelled spans of all documents.
+    """Trees from drawn spans, and thresholds from all spans beyond the base ones of all documents.
 
     If all spans have one label, there are no trees, and labels are proposed themselves.
     """
@@ -249,16 +281,21 @@ def fit(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
         seed=1,
     ).fit(drawn.withColumn("vector", array_to_vector("features")))
     scores = (
-        spans.withColumn("p", boosted_probability(trees, f.col("features")))
+        spans.filter("not base")
+        .withColumn("p", boosted_probability(trees, f.col("features")))
         .groupBy("generator", "p")
         .agg(f.sum(f.col("label") * f.col("n")).alias("personal"), f.sum("n").alias("n"))
         .collect()
     )
-    thresholds = {
-        name: _threshold([(r.p, r.personal, r.n) for r in scores if r.generator == name])
-        for name in GENERATORS
-    }
-    return Model(trees, {name: t for name, t in thresholds.items() if t is not None})
+    thresholds, added = {}, {}
+    for name in GENERATORS:
+        seen = [(r.p, r.personal, r.n) for r in scores if r.generator == name]
+        limit = _threshold(seen)
+        if limit is not None:
+            thresholds[name] = limit
+            reached = [(right, n) for p, right, n in seen if p >= limit]
+            added[name] = (sum(n for _, n in reached), round(sum(right for right, _ in reached)))
+    return Model(trees, thresholds, added)
 
 
 def proposed_spans(text: Column, model: Model) -> Column:
@@ -268,7 +305,7 @@ def proposed_spans(text: Column, model: Model) -> Column:
 
     def score(c: Column) -> Column:
         if model.trees is None:
-            return f.coalesce(_label(c["value"]), f.lit(0.0))
+            return c["label"]
         return boosted_probability(model.trees, c["features"])
 
     scored = f.transform(
@@ -301,25 +338,29 @@ def detect(docs: DataFrame, model: Model) -> DataFrame:
 
     Null text: no spans. A proposed span that equals another, or that adds fewer than
     ``LEAST_NEW`` characters to the base spans, is left out. Columns of these names are
-    replaced; all others pass.
+    replaced; all others pass. A text may be as long as it likes and have any number of spans;
+    repeated rows get equal results, an empty table none.
     """
     text = f.coalesce("text", f.lit(""))
     found = docs.drop("base_spans", "all_spans").withColumn("base_spans", base_spans(text))
     has = f.coalesce(_has_candidates(f.col("text")), f.lit(False))
-    proposed = f.when(has, proposed_spans(text, model)).otherwise(
-        _named(none(), len(KINDS), "other")
-    )
+    nothing = _named(none(), len(KINDS), "other")
+    proposed = f.when(has, distinct_sorted(proposed_spans(text, model))).otherwise(nothing)
 
-    def adds(p: Column) -> Column:
-        def overlap(total: Column, b: Column) -> Column:
-            shared = f.least(b["end"], p["end"]) - f.greatest(b["start"], p["start"])
-            return total + f.greatest(shared, f.lit(0))
+    def new(spans: Column) -> Column:
+        def adds(shared: Column) -> Column:
+            return f.filter(
+                spans,
+                lambda p, i: (f.get(shared, i) == 0)
+                | (p["end"] - p["start"] - f.get(shared, i) >= LEAST_NEW),
+            )
 
-        covered = f.aggregate(f.col("base_spans"), f.lit(0), overlap)
-        return (covered == 0) | (p["end"] - p["start"] - covered >= LEAST_NEW)
+        judged = let(covered(spans, f.col("base_spans")), adds)
+        alone = (f.size(spans) == 0) | (f.size("base_spans") == 0)
+        return f.when(alone, spans).otherwise(judged)
 
-    new = f.filter(f.array_distinct(proposed), adds)
-    return found.withColumn("all_spans", f.array_sort(f.concat(f.col("base_spans"), new)))
+    added = let(proposed, new)
+    return found.withColumn("all_spans", f.array_sort(f.concat(f.col("base_spans"), added)))
 
 
 def listed(spans: Column | str) -> Column:
@@ -329,28 +370,24 @@ def listed(spans: Column | str) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping ones by one."""
-    nothing = f.struct(f.lit(0).alias("at"), f.array().cast("array<string>").alias("parts"))
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        kept = f.substring(text, state["at"] + 1, s["start"] - state["at"])
-        tag = f.concat(f.lit("["), f.upper(s["kind"]), f.lit("]"))
-        return f.struct(
-            f.greatest(state["at"], s["end"]).alias("at"),
-            f.when(fresh, f.concat(state["parts"], f.array(kept, tag)))
-            .otherwise(state["parts"])
-            .alias("parts"),
-        )
+    def replaced(sorted_spans: Column) -> Column:
+        ends = f.transform(sorted_spans, lambda s: s["end"])
+        reached = let(ends, lambda e: running(e, f.lit(0), lambda x, y: f.greatest(x, y)))
+        return let(reached, lambda r: let(pieces(text), lambda cut: parts(sorted_spans, r, cut)))
 
-    whole = f.aggregate(
-        spans,
-        nothing,
-        step,
-        lambda state: f.concat(
-            f.array_join(state["parts"], ""), f.substring(text, state["at"] + 1, f.length(text))
-        ),
-    )
-    return f.when(f.size(spans) == 0, text).otherwise(whole)
+    def parts(sorted_spans: Column, reached: Column, cut: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            tag = f.concat(f.lit("["), f.upper(s["kind"]), f.lit("]"))
+            return let(
+                f.coalesce(f.get(reached, i - 1), f.lit(0)),
+                lambda at: f.when(s["start"] >= at, f.concat(between(cut, at, s["start"]), tag)).otherwise(""),
+            )
+
+        rest = between(cut, f.element_at(reached, -1), f.length(text))
+        return f.concat(f.array_join(f.transform(sorted_spans, part), ""), rest)
+
+    return f.when(f.size(spans) == 0, text).otherwise(let(spans, replaced))
 
 
 def redact(docs: DataFrame, model: Model) -> DataFrame:
