@@ -66,3 +66,14 @@ def test_entry_point_without_the_corpus_parts(tmp_path):
         [sys.executable, "-B", "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True
     )
     assert said.stdout.split() == list(QUERIES), said.stderr
+
+
+def test_entry_point_without_a_library_of_the_corpus_parts():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None\n"
+        "import __spark_entry__ as e; print(*e.queries()); assert e.oracle_sql()"
+    )
+    root = Path(entry_point.__file__).parent
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=root, capture_output=True, text=True)
+    assert said.stdout.split() == list(QUERIES), said.stderr
+    assert "public_tokenizers" in said.stderr
