@@ -36,7 +36,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document left, placed in a sequence."""
-    return packing.pack(packing.tokenise(docs, WORDS))
+    return packing.pack(packing.tokenise(docs, WORDS, with_ids=False))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

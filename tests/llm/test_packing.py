@@ -75,3 +75,28 @@ def test_dual_feasible_bound_beats_the_sum():
 
 def test_no_documents(no_docs):
     assert pack(tokenise(no_docs, WORDS)).count() == 0
+
+
+def test_exchange_goes_on_while_it_saves(spark, dice):
+    """Awkward lengths in many small partitions take more than six rounds."""
+    lengths = [dice.randint(520, 800) for _ in range(1500)]
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    frame = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], schema).coalesce(2)
+    packed = pack(frame, partition_items=60).collect()
+    assert sorted(r.doc_id for r in packed) == list(range(1500))
+    used = check_sequences(packed, 2048)
+    bins, _ = best_fit_decreasing(np.array(sorted(lengths, reverse=True)), 2048)
+    assert lower_bound(np.array(lengths), 2048) <= used <= 1.01 * (int(bins.max()) + 1)
+    assert max(r.sequence_id >> 49 for r in packed) >= 6
+
+
+def test_ids_are_those_of_the_tokenizer(spark, odd_docs):
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = {}
+    for n, (i, text) in enumerate(TEXTS):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        expected.setdefault(i, set()).add(np.array(ids, "<u4").tobytes())
+    found = {}
+    for row in tokenise(odd_docs, WORDS, capacity=1 << 22).collect():
+        found.setdefault(row.doc_id, set()).add(bytes(row.ids))
+    assert found == expected

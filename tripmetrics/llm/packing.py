@@ -4,8 +4,8 @@ Documents longer than a sequence are cut into whole sequences and a rest. Everyt
 is dealt to partitions of bounded size. Each partition packs by best-fit decreasing and
 computes a lower bound from dual-feasible functions. A partition that reaches its bound is
 certified and keeps all sequences but its emptiest one; a partition with a gap keeps only its
-full sequences. What is not kept is exchanged: dealt anew to fewer partitions and packed
-again, until one partition is left or the rounds are over.
+full sequences. What is not kept is exchanged: dealt anew and packed again, until one partition is
+left, or a round neither certifies a partition nor saves a sequence.
 """
 
 from __future__ import annotations
@@ -28,10 +28,9 @@ from tripmetrics.sources.shared import store
 
 CAPACITY = 2048
 PARTITION_ITEMS = 60_000
-ROUNDS = 6
-CACHE_WORDS = 320_000
+CACHE_WORDS = 450_000
 CACHED_BYTES = 64
-TEXT_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 1 << 22
 # Characters for which normalisation and splitting are plain: ASCII and composed Latin letters.
 _PLAIN = re.compile("[\\x21-\\x7e\\u00c0-\\u012f\\u0131-\\u017f]+")
 _MATCH = re.compile(
@@ -80,7 +79,7 @@ class _WordIds:
             self.matches[match] = packed[at:end]
             at = end
 
-    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Keep the ids of new words; return those of words too long to keep."""
         once, plain = {}, {}
         for word in new:
@@ -100,18 +99,32 @@ class _WordIds:
             self.words[word] = b"".join([self.matches[m] for m in matches])
         return once
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, a 0 after each, and where each begins in them (and the end).
+
+        Arrow splits and tells words apart, so each distinct word of the texts is looked up once.
+        """
         if len(self.words) >= CACHE_WORDS:
             self.old_words, self.words = self.words, {}
         if len(self.matches) >= CACHE_WORDS:
             self.matches = {}
-        split = [text.split() for text in texts]
-        once = self._learn(set(chain.from_iterable(split)).difference(self.words))
-        get = self.words.__getitem__
-        if once:
-            get = lambda word: once[word] if word in once else self.words[word]
-        return [b"".join(map(get, words)) for words in split]
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.get, distinct))
+        new = [n for n, known in enumerate(ids) if known is None]
+        once = self._learn([distinct[n] for n in new])
+        for n in new:
+            ids[n] = once[distinct[n]] if distinct[n] in once else self.words[distinct[n]]
+        known = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        code = words.indices.to_numpy()
+        end_of_word = np.concatenate([[0], np.cumsum(size[code])])
+        place = np.repeat(start[code] - end_of_word[:-1], size[code])
+        found = known[place + np.arange(len(place))]
+        begins = end_of_word[split.offsets.to_numpy()]
+        return np.insert(found, begins[1:], 0), begins + np.arange(len(begins))
 
 
 @lru_cache(maxsize=2)
@@ -128,34 +141,40 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, end - start)
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and ``ids`` (packed).
+def tokenise(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = True
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 and ``ids`` (packed), if wanted.
 
     A document is its ids and a final 0; a null or empty text is the 0 alone. The tokenizer
     drops white space and never merges across it, so words are encoded by themselves and
     remembered per task (bounded). Pieces hold ``capacity`` ids, the last one the rest.
     """
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    if with_ids:
+        schema += ", ids binary"
+    columns = len(names) if with_ids else len(names) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(tokenizer_path)
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             for block in _blocks(batch):
                 doc_ids = block.column("doc_id").to_pylist()
-                texts = [(t or "").encode("utf-8") for t in block.column("text").to_pylist()]
+                ids, begins = words.encode(pc.fill_null(block.column("text"), ""))
+                packed, places = memoryview(ids.tobytes()), begins.tolist()
                 rows: list[tuple] = []
-                for doc_id, ids in zip(doc_ids, words.encode(texts)):
-                    ids += b"\0\0\0\0"
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        rows.append((doc_id, piece, at // 4, len(part) // 4, crc32(part), part))
+                for doc_id, first, end in zip(doc_ids, places, places[1:]):
+                    for piece, at in enumerate(range(first, end, capacity)):
+                        part = packed[4 * at : 4 * min(at + capacity, end)]
+                        row = (doc_id, piece, at - first, len(part) // 4, crc32(part))
+                        rows.append((*row, part.tobytes()) if with_ids else row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names
+                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names[:columns]
                 )
 
     ship(docs.sparkSession)
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
     docs = docs.select(f.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return docs.mapInArrow(run, schema)
 
@@ -239,17 +258,15 @@ def _pack_group(capacity: int, last: bool):
 
 
 def pack(
-    pieces: DataFrame,
-    capacity: int = CAPACITY,
-    partition_items: int = PARTITION_ITEMS,
-    rounds: int = ROUNDS,
+    pieces: DataFrame, capacity: int = CAPACITY, partition_items: int = PARTITION_ITEMS
 ) -> DataFrame:
     """``pieces`` with sequence_id and offset.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset and the partition's
     ``bins`` and lower ``bound`` in the round that placed the piece (null for pieces that fill
-    a sequence alone). Ties in length go by row number, so a partition that runs twice packs
-    alike. Repeated rows and null doc_ids are pieces like any other; no piece, no sequence.
+    a sequence alone): their difference is what that partition may lose to a perfect packing. Ties
+    in length go by row number, so a partition that runs twice packs alike. Repeated rows and
+    null doc_ids are pieces like any other; no piece, no sequence.
     """
     ship(pieces.sparkSession)
     numbered = store(
@@ -262,37 +279,64 @@ def pack(
     placed = [
         numbered.filter(f.col("length") >= capacity).select(
             *columns,
-            f.col("row_no").alias("sequence_id"),
+            (-1 - f.col("row_no")).alias("sequence_id"),
             f.lit(0).cast("bigint").alias("offset"),
             f.lit(None).cast("bigint").alias("bins"),
             f.lit(None).cast("bigint").alias("bound"),
         )
     ]
+
+    def place(packed: DataFrame, turn: int) -> None:
+        # 14 bits of the round, 28 of the partition, 21 of the sequence in it
+        sequence = f.lit(turn << 49) + f.shiftleft("part", 21) + f.col("bin")
+        placed.append(
+            packed.select(*columns, sequence.alias("sequence_id"), "offset", "bins", "bound")
+        )
+
     rest = numbered.filter(f.col("length") < capacity)
-    for turn in range(rounds):
-        items = rest.count()
-        if not items:
-            break
+    items = rest.count()
+    before: tuple[DataFrame, int, int] | None = None  # the packing of what is left, and its size
+    turn = 0
+    while items:
         groups = ceil(items / partition_items)
-        last = groups == 1 or turn == rounds - 1
         dealt = rest.withColumn("part", f.pmod(f.xxhash64("row_no", f.lit(turn)), f.lit(groups)))
         packed = dealt.groupBy("part").applyInArrow(
-            _with_part(_pack_group(capacity, last)), _PACKED + ", part bigint"
+            _with_part(_pack_group(capacity, groups == 1)), _PACKED + ", part bigint"
         )
         packed = store(packed, f"packed{turn}")
-        sequence = f.lit((turn + 1) << 58) + f.shiftleft("part", 34) + f.col("bin")
-        placed.append(
-            packed.filter("kept").select(
-                *columns, sequence.alias("sequence_id"), "offset", "bins", "bound"
-            )
-        )
+        used, certified, items, left = _progress(packed)
+        if groups == 1 or (before and used >= before[1] and not certified):
+            # no more to gain: of this packing and the one before, the smaller one
+            place(*((packed, turn) if not before or used <= before[1] else before[::2]))
+            break
+        place(packed.filter("kept"), turn)
         rest = packed.filter("not kept").select("row_no", *columns)
+        before = (packed.filter("not kept"), left, turn)
+        turn += 1
     result = placed[0]
     for more in placed[1:]:
         result = result.union(more)
     return result
 
 
+def _progress(packed: DataFrame) -> tuple[int, int, int, int]:
+    """Sequences used, certified partitions, and pieces and sequences that are not kept."""
+    sequences = packed.groupBy("part", "bin").agg(
+        f.first("kept").alias("kept"),
+        f.first("bins").alias("bins"),
+        f.first("bound").alias("bound"),
+        f.count("*").alias("pieces"),
+    )
+    kept = f.col("kept")
+    row = sequences.agg(
+        f.count("*").alias("used"),
+        f.count_if((f.col("bins") == f.col("bound")) & (f.col("bin") == 0)).alias("certified"),
+        f.sum(f.when(kept, 0).otherwise(f.col("pieces"))).alias("pieces"),
+        f.count_if(~kept).alias("left"),
+    ).first()
+    return row["used"], row["certified"], row["pieces"] or 0, row["left"]
+
+
 def _with_part(run):
     def group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = run(table)

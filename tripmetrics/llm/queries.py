@@ -79,7 +79,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, placed in a sequence."""
-    return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS))
+    return packing.pack(packing.tokenise(documents(spark, sf_dir), WORDS, with_ids=False))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
