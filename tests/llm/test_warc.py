@@ -1,3 +1,5 @@
+import re
+import time
 from collections import Counter
 
 import pytest
@@ -70,3 +72,54 @@ def test_a_broken_record_ends_its_file(spark, tmp_path):
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert round_trip(spark, pages).count() == 0
+
+
+def test_lengths_beyond_the_file(spark, tmp_path):
+    good = MAGIC + "WARC-Type: response\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    for number, length in enumerate((10**5, 10**12, 10**15, 10**17, 10**18 - 1)):
+        huge = MAGIC + f"Content-Length: {length}\r\n\r\nshort\r\n\r\n"
+        (tmp_path / f"{number}.warc").write_bytes((good + huge + good).encode())
+    start = time.perf_counter()
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert [row.block_bytes for row in rows] == [2] * 5 and {row.at for row in rows} == {0}
+    assert time.perf_counter() - start < 60
+
+
+def test_fields_that_every_record_must_have(spark, dice):
+    rows = pages_of(dice, 40)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, payload string")
+    path = shared_path(spark, "archives")
+    warc.write_archives(warc.page_records(pages), path)
+    heads = [
+        dict(re.findall(r"(?m)^([A-Za-z-]+): (.*?)\r$", bytes(row.header).decode()))
+        for row in warc.read_archives(spark, path).collect()
+    ]
+    assert len(heads) == len(rows)
+    assert len({head["WARC-Record-ID"] for head in heads}) == len(rows)
+    for head in heads:
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", head["WARC-Record-ID"])
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", head["WARC-Date"])
+        assert head["Content-Length"].isdigit()
+        assert (head["WARC-Type"] == "revisit") == ("WARC-Profile" in head) == ("Refers-To-Page-ID" in head)
+
+
+def test_torn_blocks_read_only_their_files_again(spark, tmp_path, monkeypatch):
+    block = ("x" * 900 + MAGIC) * 6
+    torn = MAGIC + f"Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    plain = MAGIC + "Content-Length: 2\r\n\r\nok\r\n\r\n"
+    (tmp_path / "it is torn.warc").write_bytes((plain + torn + plain).encode())
+    for number in range(3):
+        (tmp_path / f"plain{number}.warc").write_bytes((plain * 100).encode())
+    read = []
+    pieces = warc._pieces
+    monkeypatch.setattr(warc, "_pieces", lambda s, paths, *a, **b: read.append(paths) or pieces(s, paths, *a, **b))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = warc.read_archives(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(row.block_bytes for row in rows) == [2] * 302 + [len(block)]
+    assert [row.block_digest for row in rows if row.block_bytes > 2] == [warc.payload_digest(block.encode())]
+    assert len(read) == 2 and len(read[1]) == 1 and read[1][0].endswith("it is torn.warc")

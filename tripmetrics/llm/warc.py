@@ -17,6 +17,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +31,8 @@ from tripmetrics.sources.shared import store
 
 VERSION = "WARC/1.1"
 MAGIC = f"{VERSION}\r\n"
+#: What a revisit says it has in common with the record it refers to.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 #: Payloads of at least so many bytes are written once; later copies revisit the first.
 MIN_REVISIT_BYTES = 0
@@ -96,17 +99,25 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -
 
 
 def write_archives(records: DataFrame, path: str) -> None:
-    """One archive per partition of ``records`` below ``path``."""
+    """One archive per partition of ``records`` below ``path``.
+
+    Every record has an id of its own, so rows with one page_id or none differ; the page_id of a
+    record and that of the response it revisits are fields of their own.
+    """
     revisit = f.col("record_type") == "revisit"
     block = f.when(revisit, "").otherwise(f.col("payload"))
+    now = f.to_utc_timestamp(f.current_timestamp(), f.current_timezone())
     header = f.concat(
         f.lit(MAGIC),
         _field("WARC-Type", f.col("record_type")),
-        _field("WARC-Record-ID", f.concat(f.lit("<urn:page:"), f.col("page_id"), f.lit(">"))),
-        _field("WARC-Refers-To", f.concat(f.lit("<urn:page:"), f.col("refers_to"), f.lit(">"))),
+        _field("WARC-Record-ID", f.concat(f.lit("<urn:uuid:"), f.uuid(), f.lit(">"))),
+        _field("WARC-Date", f.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _field("WARC-Profile", f.when(revisit, PROFILE)),
         _field("WARC-Target-URI", f.col("url")),
         _field("WARC-Payload-Digest", f.concat(f.lit("sha1:"), f.col("payload_digest"))),
         _field("WARC-Payload-Length", f.col("payload_bytes")),
+        _field("Page-ID", f.col("page_id")),
+        _field("Refers-To-Page-ID", f.col("refers_to")),
         _field("Content-Type", f.lit("text/html; charset=utf-8")),
         f.lit("Content-Length: "),
         f.octet_length(block).cast("string"),
@@ -157,9 +168,9 @@ def _propose(all_bodies: bool):
     return run
 
 
-def _pieces(spark: SparkSession, path: str, all_bodies: bool = False) -> DataFrame:
-    """The pieces of all files, with their offset ``at`` in the file."""
-    lines = spark.read.option("lineSep", MAGIC).text(path)
+def _pieces(spark: SparkSession, paths: list[str], all_bodies: bool = False) -> DataFrame:
+    """The pieces of all files, with their offset ``at`` in the file and its size."""
+    lines = spark.read.option("lineSep", MAGIC).text(paths)
     pieces = store(
         lines.select(
             f.col("_metadata.file_path").alias("path"),
@@ -173,7 +184,12 @@ def _pieces(spark: SparkSession, path: str, all_bodies: bool = False) -> DataFra
     starts = (
         pieces.groupBy("path", "block")
         .agg(f.sum("size").alias("bytes"))
-        .select("path", "block", f.coalesce(f.sum("bytes").over(earlier), f.lit(0)).alias("start"))
+        .select(
+            "path",
+            "block",
+            f.coalesce(f.sum("bytes").over(earlier), f.lit(0)).alias("start"),
+            f.sum("bytes").over(Window.partitionBy("path")).alias("file_bytes"),
+        )
     )
     return store(
         pieces.join(store(starts, "parts"), ["path", "block"])
@@ -227,14 +243,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records below ``path``: path, at, header, block_bytes, block_digest.
 
     Records come from the chain that starts each file. A chain that ends before its file does
-    (a broken record) keeps the records before that. Header names count without case.
+    (a broken record) keeps the records before that; a length that goes beyond the file is broken,
+    whatever it says. Header names count without case.
     """
     ship(spark)
-    placed = _pieces(spark, path)
+    placed = _pieces(spark, [path])
     head = f.octet_length("header") + len(MAGIC) + 2
     proposed = placed.filter("declared is not null").withColumn(
         "successor", f.col("at") + head + f.col("declared") + len(END)
-    )
+    ).filter("successor <= file_bytes")
     chain = reachable(store(proposed.select("path", "at", "successor"), "candidates"))
     kept = proposed.join(chain, ["path", "at"], "left_semi")
     whole = kept.filter("digest is not null").select(
@@ -247,10 +264,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     cut = kept.filter("digest is null").select(
         "path", f.col("at").alias("record"), "header", "declared", "successor"
     )
-    return whole.union(_mended(spark, path, placed, store(cut, "cut")))
+    return whole.union(_mended(spark, placed, store(cut, "cut")))
 
 
-def _mended(spark: SparkSession, path: str, placed: DataFrame, cut: DataFrame) -> DataFrame:
+def _mended(spark: SparkSession, placed: DataFrame, cut: DataFrame) -> DataFrame:
     """Records whose block holds magics, from all the pieces up to their successor.
 
     Records and pieces meet by stretches of the file, so that a piece is compared with the few
@@ -266,8 +283,12 @@ def _mended(spark: SparkSession, path: str, placed: DataFrame, cut: DataFrame) -
         return pieces.join(ranges, ["path", "stretch"]).filter("at >= record and at < successor")
 
     found = store(inside(placed), "inside")
-    if not found.filter("body is null").isEmpty():  # a block goes on into a part read elsewhere
-        found = store(inside(_pieces(spark, path, all_bodies=True)), "inside")
+    # blocks that go on into a part read elsewhere: the files concerned are read again, with bodies
+    torn = found.filter("body is null").select("path").distinct()
+    again = [unquote(row["path"]) for row in torn.collect()]  # names of files
+    if again:
+        others = found.join(f.broadcast(torn) if len(again) < 10_000 else torn, "path", "left_anti")
+        found = store(others.unionByName(inside(_pieces(spark, again, all_bodies=True))), "inside")
     bodies = f.transform(
         f.sort_array(f.collect_list(f.struct("at", "body"))), lambda piece: f.hex(piece["body"])
     )
@@ -305,14 +326,11 @@ def page_rows(records: DataFrame) -> DataFrame:
     A response's payload figures are those of the block that was read; a revisit's, which has no
     block, are those of its response, found by refers_to and digest (null if it is not there).
     """
-    number = lambda name: f.regexp_extract(
-        header_field(name), "<urn:page:(-?[0-9]+)>", 1
-    )
     rows = store(
         records.select(
-            number("WARC-Record-ID").try_cast("bigint").alias("page_id"),
+            header_field("Page-ID").try_cast("bigint").alias("page_id"),
             header_field("WARC-Type").alias("record_type"),
-            number("WARC-Refers-To").try_cast("bigint").alias("refers_to"),
+            header_field("Refers-To-Page-ID").try_cast("bigint").alias("refers_to"),
             f.substring(header_field("WARC-Payload-Digest"), 6, 32).alias("declared"),
             "block_bytes",
             "block_digest",
