@@ -1,6 +1,7 @@
 """Licences, quality and secrets."""
 
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as f
@@ -47,6 +48,93 @@ def test_licences_of_both_cuts(spark):
     assert [r.n_sentences for r in rows] == [3, 3, 3]
 
 
+HEADERS = {
+    "MIT": """
+        /*
+         * Copyright (c) 2020 Someone
+         *
+         * Permission is hereby granted, free of charge, to any person obtaining a copy
+         * of this software and associated documentation files (the "Software"), to deal
+         * in the Software without restriction, including without limitation the rights
+         * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+         * copies of the Software, and to permit persons to whom the Software is
+         * furnished to do so, subject to the following conditions:
+         *
+         * The above copyright notice and this permission notice shall be included in
+         * all copies or substantial portions of the Software.
+         */""",
+    "BSD-2-Clause": """
+        # Redistribution and use in source and binary forms, with or without
+        # modification, are permitted provided that the following conditions are met:
+        #
+        # 1. Redistributions of source code must retain the above copyright notice,
+        #    this list of conditions and the following disclaimer.
+        # 2. Redistributions in binary form must reproduce the above copyright notice,
+        #    this list of conditions and the following disclaimer in the documentation
+        #    and/or other materials provided with the distribution.""",
+    "GPL-2.0-or-later": """
+        // This program is free software; you can redistribute it and/or modify it
+        // under the terms of the GNU General Public License as published by the Free
+        // Software Foundation; either version 2 of the License, or (at your option)
+        // any later version.
+        //
+        // This program is distributed in the hope that it will be useful, but WITHOUT
+        // ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+        // FITNESS FOR A PARTICULAR PURPOSE.""",
+    "LGPL-2.1-or-later": """
+        This library is free software; you can redistribute it and/or
+        modify it under the terms of the GNU Lesser General Public
+        License as published by the Free Software Foundation; either
+        version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """
+        This program is free software: you can redistribute it and/or modify
+        it under the terms of the GNU Affero General Public License as published
+        by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version.""",
+    "MPL-2.0": """
+        /* This Source Code Form is subject to the terms of the Mozilla Public
+         * License, v. 2.0. If a copy of the MPL was not distributed with this
+         * file, You can obtain one at http://mozilla.org/MPL/2.0/. */""",
+    "EPL-2.0": """
+        This program and the accompanying materials are made
+        available under the terms of the Eclipse Public License 2.0
+        which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "CC0-1.0": """
+        To the extent possible under law, the author(s) have dedicated all
+        copyright and related and neighboring rights to this software to the
+        public domain worldwide. This software is distributed without any warranty.""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+}
+LINES = {
+    "This project is released under the MIT License.": "MIT",
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "# SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0-or-later",
+    "All code here is distributed under the terms of the BSD 3-Clause License": "BSD-3-Clause",
+    "It is available under the Mozilla Public License 2.0.": "MPL-2.0",
+    "It is not released under the MIT-like terms.": None,
+    "He was released under bail.": None,
+}
+
+
+def test_licence_headers_as_they_are_written(spark):
+    bsd3 = HEADERS["BSD-2-Clause"] + """
+        # 3. Neither the name of the copyright holder nor the names of its contributors
+        #    may be used to endorse or promote products derived from this software
+        #    without specific prior written permission."""
+    texts = [*HEADERS.values(), bsd3, *LINES]
+    rows = licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.license for r in rows] == [*HEADERS, "BSD-3-Clause", *LINES.values()]
+
+
+def test_licences_in_long_runs_take_linear_time(spark):
+    runs = [" " * 80_000, "." * 80_000, "\n" * 80_000, " \n" * 40_000, "* " * 40_000, ". " * 40_000, "#" * 80_000]
+    texts = [run + "license" + run for run in runs] + [run + "Released under the MIT License" + run for run in runs]
+    start = time.perf_counter()
+    rows = licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.license for r in rows[:7]] == [None] * 7 and rows[7].license == "MIT"
+    assert time.perf_counter() - start < 30
+
+
 def plain_measures(text):
     words = re.findall(r"[^ \t-\r]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^ \t-\r]", x)]

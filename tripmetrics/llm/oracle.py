@@ -28,41 +28,57 @@ def _archives() -> str:
 
 
 def _licenses() -> str:
-    known = ", ".join(f"('{text}', '{name}')" for name, text in licenses.SENTENCES.items())
-    cuts = {"lines": licenses.BY_LINES, "across": licenses.ACROSS_LINES}
-    named = ",".join(
-        f"""
-        {name} AS (
-          SELECT row_no, coalesce(string_agg(name, ' ' ORDER BY place), '') AS ids, count(name) AS n
-          FROM (SELECT row_no, unnest(parts) AS part, generate_subscripts(parts, 1) AS place
-                FROM (SELECT row_no, string_split_regex(text, '{cut}') AS parts FROM docs))
-          LEFT JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) = sentence
-          GROUP BY row_no
-        )"""
-        for name, cut in cuts.items()
-    )
+    def table(entries: dict[str, str]) -> str:
+        return ", ".join(f"('{text}', '{name}')" for text, name in entries.items())
+
+    known = table({text: name for name, text in licenses.SENTENCES.items()})
     rules = ", ".join(
         "CASE WHEN regexp_matches(line, ' {}') THEN '{}' END".format(
             " (.* )?".join(f"{one} " for one in sequence), name
         )
         for name, sequence in licenses.RULES
     )
+    by_lines = r"[.!?;]+[ \n]+| ?\n[ \n]*"
+    across = r"[.!?;]+[ \n]+| ?\n ?\n[ \n]*"
+    plain = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
     return rf"""
         WITH known(sentence, name) AS (VALUES {known}),
+        notices(sentence, name) AS (VALUES {table(licenses.NOTICES)}),
+        tags(sentence, name) AS (VALUES {table(licenses.TAGS)}),
         docs AS (
-          SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
-        ),{named},
-        best AS (
-          SELECT doc_id, CASE WHEN across.n > lines.n THEN across.ids ELSE lines.ids END AS ids,
-            greatest(across.n, lines.n) AS n_sentences
-          FROM docs JOIN lines USING (row_no) JOIN across USING (row_no)
-        ),
-        ruled AS (
-          SELECT *, ' ' || replace(ids, ' ', '  ') || ' ' AS line FROM best
+          SELECT row_number() OVER () AS row_no, doc_id, regexp_replace(regexp_replace(
+            coalesce(text, ''), '(?m)^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)[ \t]?', '', 'g'),
+            '[ \t\x0b\f\r]+', ' ', 'g') AS text FROM documents
+        ),
+        whole AS (
+          SELECT row_no, unnest(parts) AS part, generate_subscripts(parts, 1) AS place
+          FROM (SELECT row_no, string_split_regex(text, '{across}') AS parts FROM docs)
+        ),
+        piece AS (
+          SELECT row_no, place, 0 AS spot, {plain.format("part")} AS words FROM whole
+          UNION ALL
+          SELECT row_no, place, generate_subscripts(parts, 1), {plain.format("unnest(parts)")}
+          FROM (SELECT row_no, place, string_split_regex(part, '{by_lines}') AS parts FROM whole)
+        ),
+        named AS (
+          SELECT row_no, place, spot, coalesce(known.name, notices.name, tags.name) AS name
+          FROM piece LEFT JOIN known ON words = known.sentence
+          LEFT JOIN notices ON regexp_extract(words, '{licenses.NOTICE}', 1) = notices.sentence
+          LEFT JOIN tags ON regexp_extract(words, '{licenses.TAG}', 1) = tags.sentence
+        ),
+        found_ids AS (
+          SELECT row_no, string_agg(name, ' ' ORDER BY place, spot) AS ids, count(*) AS n
+          FROM (SELECT *, bool_or(spot > 0) OVER (PARTITION BY row_no, place, name) AS inside,
+                  bool_or(spot > 0 AND name IS NOT NULL) OVER (PARTITION BY row_no, place) AS any_inside
+                FROM named)
+          WHERE name IS NOT NULL AND (spot > 0 OR NOT inside
+            AND NOT (regexp_matches(name, '^(?:notice|spdx)_') AND any_inside)) GROUP BY row_no
         ),
         matched AS (
-          SELECT doc_id, n_sentences, ids,
-            list_filter([{rules}], lambda x: x IS NOT NULL) AS found FROM ruled
+          SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS ids,
+            list_filter([{rules}], lambda x: x IS NOT NULL) AS found
+          FROM (SELECT *, ' ' || replace(coalesce(ids, ''), ' ', '  ') || ' ' AS line
+                FROM docs LEFT JOIN found_ids USING (row_no))
         ),
         firsts AS (
           SELECT *, list_filter(found, lambda x, i: list_position(found, x) = i) AS names FROM matched
@@ -73,7 +89,7 @@ def _licenses() -> str:
 
 def _quality() -> str:
     count = "len(regexp_extract_all({}, '{}'))"
-    symbols = count.format("line", quality.SYMBOL)
+    symbols = count.format("line", "[#*$%&|<>]")
     shouts = count.format("line", "!")
     menus = count.format("line", " [|»·] ")
     # RE2 has no back references, so a stutter is counted word by word
@@ -92,14 +108,14 @@ def _quality() -> str:
         win AS (
           SELECT row_no, place, string_agg(word, ' ') OVER near AS w, count(*) OVER near AS n
           FROM word WINDOW near AS (PARTITION BY row_no ORDER BY place
-                                    ROWS BETWEEN CURRENT ROW AND {quality.WINDOW - 1} FOLLOWING)
+                                    ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
         ),
         twice AS (
-          SELECT row_no, place FROM win WHERE n = {quality.WINDOW}
+          SELECT row_no, place FROM win WHERE n = 8
           QUALIFY count(*) OVER (PARTITION BY row_no, w) > 1
         ),
         covered AS (
-          SELECT row_no, sum(least({quality.WINDOW}, coalesce(following - place, {quality.WINDOW})))
+          SELECT row_no, sum(least(8, coalesce(following - place, 8)))
             AS n FROM (SELECT *, lead(place) OVER (PARTITION BY row_no ORDER BY place) AS following
                        FROM twice) GROUP BY row_no
         ),
@@ -137,15 +153,15 @@ def _quality() -> str:
         base AS (
           SELECT doc_id, len(words) AS n_words,
             CAST(list_sum(list_transform(words, lambda x: length(x))) AS BIGINT) AS word_chars,
-            len(regexp_extract_all(text, '{quality.SYMBOL}')) AS n_symbols,
+            len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
             len(lines) - len(list_distinct(lines)) AS n_dup_lines,
             CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
             CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars, coalesce(size, 0) AS size
           FROM cut LEFT JOIN covered USING (row_no) LEFT JOIN lost USING (row_no)
         ),
         failing AS (
-          SELECT *, n_words < {quality.MIN_WORDS}
-            OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base
+          SELECT *, n_words < 20
+            OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base
         )
         SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines,
           n_repeat_words, base_failed, lost_chars,
