@@ -79,14 +79,14 @@ def test_no_documents(no_docs):
 
 def test_exchange_goes_on_while_it_saves(spark, dice):
     """Awkward lengths in many small partitions take more than six rounds."""
-    lengths = [dice.randint(520, 800) for _ in range(1500)]
+    lengths = [dice.randint(520, 800) for _ in range(3000)]
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     frame = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], schema).coalesce(2)
     packed = pack(frame, partition_items=60).collect()
-    assert sorted(r.doc_id for r in packed) == list(range(1500))
+    assert sorted(r.doc_id for r in packed) == list(range(3000))
     used = check_sequences(packed, 2048)
     bins, _ = best_fit_decreasing(np.array(sorted(lengths, reverse=True)), 2048)
-    assert lower_bound(np.array(lengths), 2048) <= used <= 1.01 * (int(bins.max()) + 1)
+    assert lower_bound(np.array(lengths), 2048) <= used <= 1.015 * (int(bins.max()) + 1)
     assert max(r.sequence_id >> 49 for r in packed) >= 6
 
 

@@ -5,7 +5,8 @@ is dealt to partitions of bounded size. Each partition packs by best-fit decreas
 computes a lower bound from dual-feasible functions. A partition that reaches its bound is
 certified and keeps all sequences but its emptiest one; a partition with a gap keeps only its
 full sequences. What is not kept is exchanged: dealt anew and packed again, until one partition is
-left, or a round neither certifies a partition nor saves a sequence.
+left, or three rounds in a row neither certify a partition nor save a sequence. Each round's packing
+is a whole one together with what was kept before it; the one with fewest sequences is taken.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tripmetrics.sources.shared import store
 
 CAPACITY = 2048
 PARTITION_ITEMS = 60_000
+#: Rounds without a gain after which the exchange ends.
+PATIENCE = 3
 CACHE_WORDS = 450_000
 CACHED_BYTES = 64
 TEXT_AT_ONCE = 1 << 22
@@ -286,33 +289,34 @@ def pack(
         )
     ]
 
-    def place(packed: DataFrame, turn: int) -> None:
-        # 14 bits of the round, 28 of the partition, 21 of the sequence in it
-        sequence = f.lit(turn << 49) + f.shiftleft("part", 21) + f.col("bin")
-        placed.append(
-            packed.select(*columns, sequence.alias("sequence_id"), "offset", "bins", "bound")
-        )
-
     rest = numbered.filter(f.col("length") < capacity)
     items = rest.count()
-    before: tuple[DataFrame, int, int] | None = None  # the packing of what is left, and its size
-    turn = 0
+    rounds: list[DataFrame] = []
+    kept, fewest, best, idle = 0, 0, 0, 0
     while items:
-        groups = ceil(items / partition_items)
+        turn, groups = len(rounds), ceil(items / partition_items)
         dealt = rest.withColumn("part", f.pmod(f.xxhash64("row_no", f.lit(turn)), f.lit(groups)))
         packed = dealt.groupBy("part").applyInArrow(
             _with_part(_pack_group(capacity, groups == 1)), _PACKED + ", part bigint"
         )
-        packed = store(packed, f"packed{turn}")
-        used, certified, items, left = _progress(packed)
-        if groups == 1 or (before and used >= before[1] and not certified):
-            # no more to gain: of this packing and the one before, the smaller one
-            place(*((packed, turn) if not before or used <= before[1] else before[::2]))
+        rounds.append(store(packed, f"packed{turn}"))
+        used, certified, items, left = _progress(rounds[-1])
+        saved = not turn or kept + used < fewest
+        if saved:
+            fewest, best = kept + used, turn
+        idle = 0 if saved or certified else idle + 1
+        if groups == 1 or idle == PATIENCE:
             break
-        place(packed.filter("kept"), turn)
-        rest = packed.filter("not kept").select("row_no", *columns)
-        before = (packed.filter("not kept"), left, turn)
-        turn += 1
+        kept += used - left
+        rest = rounds[-1].filter("not kept").select("row_no", *columns)
+    for turn, packed in enumerate(rounds[: best + 1]):
+        # 14 bits of the round, 28 of the partition, 21 of the sequence in it
+        sequence = f.lit(turn << 49) + f.shiftleft("part", 21) + f.col("bin")
+        placed.append(
+            (packed if turn == best else packed.filter("kept")).select(
+                *columns, sequence.alias("sequence_id"), "offset", "bins", "bound"
+            )
+        )
     result = placed[0]
     for more in placed[1:]:
         result = result.union(more)
