@@ -24,6 +24,11 @@ CHUNK = r"(?s).{384,4096}?(?:\n|[.,;:!?] (?=[a-m])|[aeinrst] (?=[b-f]))|.{1,4096
 Identify = Callable[[Column], Column]
 
 
+def two_hashes(chunk: Column) -> Column:
+    """128 bits, so that no two of the chunks of a very large corpus are likely to share them."""
+    return f.struct(f.xxhash64(chunk).alias("a"), f.xxhash64(chunk, f.lit(1)).alias("b"))
+
+
 def normalised(text: Column | str) -> Column:
     """``text`` with A-Z in lower case and null as empty."""
     text = f.col(text) if isinstance(text, str) else text
@@ -46,7 +51,7 @@ def ambiguous(texts: DataFrame, identify: Identify) -> DataFrame:
     return distinct.groupBy("chunk_id").count().filter("count > 1").select("chunk_id")
 
 
-def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
+def deduplicate(docs: DataFrame, identify: Identify = two_hashes) -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept, text_sha256 (and ``__row``).
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty, and empty
@@ -55,7 +60,7 @@ def deduplicate(docs: DataFrame, identify: Identify = f.xxhash64) -> DataFrame:
     name if ``docs`` has one, else a number given here. Other columns are not read. An empty
     table gives an empty result.
 
-    ``identify`` maps a chunk to a cheap identifier. If any identifier stands for two chunks,
+    ``identify`` maps a chunk to a cheap identifier, by default of 128 bits. If any identifier stands for two chunks,
     SHA-256 identifiers are used for all of them instead.
     """
     row_no = "__row" if "__row" in docs.columns else f.monotonically_increasing_id()
