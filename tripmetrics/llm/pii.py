@@ -266,7 +266,9 @@ def _threshold(seen: list[tuple[float, float, int]]) -> float | None:
 def fit(docs: DataFrame, sample_spans: int = SAMPLE_SPANS) -> Model:
     """Trees from drawn spans, and thresholds from all spans beyond the base ones of all documents.
 
-    If all spans have one label, there are no trees, and labels are proposed themselves.
+    If all spans have one label, there are no trees, and labels are proposed themselves; so it is
+    for an empty table. Null and empty texts have no spans, repeated rows count each, and a text
+    may have any number of spans.
     """
     spans = store(_labelled(docs), "labelled")
     if spans.select("label").distinct().count() < 2:

@@ -104,6 +104,7 @@ def assess(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, the base measures, base_failed, kept, lost_chars, ``clean_text``.
 
     Null counts as no text: no words, so the base rules fail. Repeated rows are judged alike.
+    Texts may be as long as they like; an empty table gives no rows.
     Only doc_id and text are read. ``clean_text`` is the lines that pass, joined by line feeds.
     """
     text = f.coalesce("text", f.lit(""))
