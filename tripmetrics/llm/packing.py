@@ -31,9 +31,9 @@ CAPACITY = 2048
 PARTITION_ITEMS = 60_000
 #: Rounds without a gain after which the exchange ends.
 PATIENCE = 3
-CACHE_WORDS = 450_000
+CACHE_WORDS = 300_000
 CACHED_BYTES = 64
-TEXT_AT_ONCE = 1 << 22
+TEXT_AT_ONCE = 1 << 21
 # Characters for which normalisation and splitting are plain: ASCII and composed Latin letters.
 _PLAIN = re.compile("[\\x21-\\x7e\\u00c0-\\u012f\\u0131-\\u017f]+")
 _MATCH = re.compile(
