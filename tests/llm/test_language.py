@@ -1,8 +1,11 @@
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as f
 
 from tests.llm.conftest import SF_DIR, TEXTS
-from tripmetrics.llm.language import fit, fit_documents, held_out, predict, trigram_counts
+from tripmetrics.llm.language import _sparse, fit, fit_documents, held_out, predict, trigram_counts
 from tripmetrics.llm.queries import op5_language_id
 
 SENTENCES = {
@@ -50,3 +53,18 @@ def test_held_out_accuracy(spark):
     found = op5_language_id(spark, SF_DIR).filter("held_out").join(docs, "doc_id")
     right = found.agg(f.avg((f.col("lang") == f.col("lang_pred")).cast("double"))).first()[0]
     assert right >= 0.95
+
+
+def test_sample_is_held_sparse():
+    """A sampled text takes what its trigrams take, not a count per bucket."""
+    texts = [f"{SENTENCES['en']} {n}" for n in range(1000)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    tracemalloc.start()
+    (found,) = _sparse(iter([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 << 20
+    for text, row in zip(texts, found.to_pylist()):
+        counts = trigram_counts(text)
+        assert row["buckets"] == counts.nonzero()[0].tolist()
+        assert row["counts"] == counts[row["buckets"]].tolist()

@@ -1,11 +1,16 @@
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import TEXTS
+from tripmetrics.llm import packing
 from tripmetrics.llm.packing import best_fit_decreasing, lower_bound, pack, tokenise
 from tripmetrics.llm.queries import WORDS
 
@@ -100,3 +105,55 @@ def test_ids_are_those_of_the_tokenizer(spark, odd_docs):
     for row in tokenise(odd_docs, WORDS, capacity=1 << 22).collect():
         found.setdefault(row.doc_id, set()).add(bytes(row.ids))
     assert found == expected
+
+
+def test_full_memories_start_anew(monkeypatch, dice):
+    """Frequent words outlive a full memory, matches too; every id stays that of the tokenizer."""
+    for name, size in (("CACHE_WORDS", 40), ("CACHE_MATCHES", 15), ("MATCHES_AT_ONCE", 4)):
+        monkeypatch.setattr(packing, name, size)
+    words = packing._WordIds(WORDS)
+    tokenizer = Tokenizer.from_file(WORDS)
+    for _ in range(30):
+        new = [f"It's {dice.getrandbits(24):x} the end, don't" for _ in range(5)]
+        texts = [*new, "", "the the x1y2 Ünï 中文 " + "z" * 90]
+        ids, begins = words.encode(pa.array(texts))
+        alone = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert ids.tolist() == [i for one in alone for i in one]
+        assert np.diff(begins).tolist() == [len(one) for one in alone]
+        assert len(words.matches) < 15 + 100 and len(words.old_matches) < 15 + 100
+
+
+_TAKES = """
+import random, re, sys
+import pyarrow as pa
+from tripmetrics.llm.packing import _blocks, _word_ids
+
+def taken():
+    found = re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())
+    return int(found[0]) >> 10
+
+def text():
+    return " ".join(f"{dice.getrandbits(40):x} word" for _ in range(350))
+
+dice, words = random.Random(3), _word_ids(sys.argv[1])
+before, most = taken(), 0
+for _ in range(12):
+    batch = pa.RecordBatch.from_pydict({"text": [text() for _ in range(500)]})
+    for block in _blocks(batch):
+        words.encode(block.column("text"))
+        most = max(most, taken() - before)
+print(most)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_words_that_never_return_take_bounded_memory():
+    """Two million distinct words; a worker holds the memories for as long as it lives."""
+    done = subprocess.run(
+        [sys.executable, "-c", _TAKES, WORDS],
+        cwd=Path(packing.__file__).parents[2],
+        capture_output=True,
+        text=True,
+    )
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 200

@@ -108,13 +108,17 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [trigram_counts(t.as_py()) for t in batch.column("text")]
-        used = [np.flatnonzero(c) for c in counts]
+        buckets, occurrences = [], []  # all counts of a batch would be 64 kB a text
+        for text in batch.column("text"):
+            counts = trigram_counts(text.as_py())
+            used = np.flatnonzero(counts)
+            buckets.append(used.astype(np.int32))
+            occurrences.append(counts[used].astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("lang"),
-                pa.array([u.tolist() for u in used], pa.list_(pa.int32())),
-                pa.array([c[u].tolist() for c, u in zip(counts, used)], pa.list_(pa.int32())),
+                pa.array(buckets, pa.list_(pa.int32())),
+                pa.array(occurrences, pa.list_(pa.int32())),
             ],
             names=["lang", "buckets", "counts"],
         )

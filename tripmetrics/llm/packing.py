@@ -31,9 +31,11 @@ CAPACITY = 2048
 PARTITION_ITEMS = 60_000
 #: Rounds without a gain after which the exchange ends.
 PATIENCE = 3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
+CACHE_MATCHES = 50_000
 CACHED_BYTES = 64
-TEXT_AT_ONCE = 1 << 21
+MATCHES_AT_ONCE = 4096
+TEXT_AT_ONCE = 1 << 20
 # Characters for which normalisation and splitting are plain: ASCII and composed Latin letters.
 _PLAIN = re.compile("[\\x21-\\x7e\\u00c0-\\u012f\\u0131-\\u017f]+")
 _MATCH = re.compile(
@@ -48,7 +50,7 @@ class _WordIds:
     """White-space delimited word to its ids, packed little-endian in 4 bytes each.
 
     Words of plain characters are cut into the matches that the tokenizer would split them
-    into. All matches that are new are encoded in one call, and told apart by the tokens that
+    into. Matches that are new are encoded many in one call, and told apart by the tokens that
     end a word. All other words are encoded one by one. Memories of bounded size keep both;
     a full one starts anew and keeps its previous generation.
     """
@@ -63,6 +65,7 @@ class _WordIds:
         self.words: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
         self.matches: dict[str, bytes] = {}
+        self.old_matches: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -96,8 +99,14 @@ class _WordIds:
                 self.words[word] = self._alone(text)
             else:
                 plain[word] = _MATCH.findall(text.lower())
-        matches = dict.fromkeys(chain.from_iterable(plain.values()))
-        self._encode_matches([m for m in matches if m not in self.matches])
+        unknown = []
+        for match in dict.fromkeys(chain.from_iterable(plain.values())):
+            if match in self.old_matches:
+                self.matches[match] = self.old_matches[match]
+            elif match not in self.matches:
+                unknown.append(match)
+        for at in range(0, len(unknown), MATCHES_AT_ONCE):
+            self._encode_matches(unknown[at : at + MATCHES_AT_ONCE])
         for word, matches in plain.items():
             self.words[word] = b"".join([self.matches[m] for m in matches])
         return once
@@ -109,8 +118,8 @@ class _WordIds:
         """
         if len(self.words) >= CACHE_WORDS:
             self.old_words, self.words = self.words, {}
-        if len(self.matches) >= CACHE_WORDS:
-            self.matches = {}
+        if len(self.matches) >= CACHE_MATCHES:
+            self.old_matches, self.matches = self.matches, {}
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
@@ -144,6 +153,24 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, end - start)
 
 
+def _pieces(
+    words: _WordIds, block: pa.RecordBatch, capacity: int, with_ids: bool
+) -> pa.RecordBatch:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    doc_ids = block.column("doc_id").to_pylist()
+    ids, begins = words.encode(pc.fill_null(block.column("text"), ""))
+    packed, places = memoryview(ids.tobytes()), begins.tolist()
+    rows: list[tuple] = []
+    for doc_id, first, end in zip(doc_ids, places, places[1:]):
+        for piece, at in enumerate(range(first, end, capacity)):
+            part = packed[4 * at : 4 * min(at + capacity, end)]
+            row = (doc_id, piece, at - first, len(part) // 4, crc32(part))
+            rows.append((*row, part.tobytes()) if with_ids else row)
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+    return pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
+
+
 def tokenise(
     docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = True
 ) -> DataFrame:
@@ -153,29 +180,17 @@ def tokenise(
     drops white space and never merges across it, so words are encoded by themselves and
     remembered per task (bounded). Pieces hold ``capacity`` ids, the last one the rest.
     """
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     if with_ids:
         schema += ", ids binary"
-    columns = len(names) if with_ids else len(names) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _word_ids(tokenizer_path)
         for batch in batches:
             for block in _blocks(batch):
-                doc_ids = block.column("doc_id").to_pylist()
-                ids, begins = words.encode(pc.fill_null(block.column("text"), ""))
-                packed, places = memoryview(ids.tobytes()), begins.tolist()
-                rows: list[tuple] = []
-                for doc_id, first, end in zip(doc_ids, places, places[1:]):
-                    for piece, at in enumerate(range(first, end, capacity)):
-                        part = packed[4 * at : 4 * min(at + capacity, end)]
-                        row = (doc_id, piece, at - first, len(part) // 4, crc32(part))
-                        rows.append((*row, part.tobytes()) if with_ids else row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names[:columns]
-                )
+                yield _pieces(words, block, capacity, with_ids)
+                # else Arrow holds what a block took, also while later tasks run beside it
+                pa.default_memory_pool().release_unused()
 
     ship(docs.sparkSession)
     docs = docs.select(f.col("doc_id").cast("bigint").alias("doc_id"), "text")
