@@ -48,15 +48,32 @@ _TRIP_COLUMNS = {
 }
 
 
+#: The columns that trips are derived from.
+_LINEITEM = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_shipdate",
+)
+
+
+def _trip_column(name: str) -> Column:
+    return f.expr(_TRIP_COLUMNS[name]).cast(STANDARD[name].dataType).alias(name)
+
+
+def _as_trips(lineitem: DataFrame, *further: str) -> DataFrame:
+    return lineitem.select(*[_trip_column(name) for name in STANDARD.names], *further)
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20-column standard trip frame."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lineitem.selectExpr(
-        *[
-            f"CAST({_TRIP_COLUMNS[field.name]} AS {field.dataType.simpleString()}) AS {field.name}"
-            for field in STANDARD
-        ]
-    )
+    return _as_trips(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,23 +124,34 @@ def legacy_layout(standard: DataFrame) -> DataFrame:
 
 
 def raw_root(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of monthly parquet files in their drifting layouts, written once a session."""
+    """A folder of monthly parquet files in their drifting layouts, written once a session.
+
+    Rows move to their months as the ten columns of ``lineitem`` that trips come from, half as
+    wide as trips, which are derived where they are written.
+    """
 
     def build() -> str:
-        standard = trips(spark, sf_dir)
+        pickup = _trip_column("tpep_pickup_datetime")
+        months = (
+            spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+            .select(*_LINEITEM)
+            .withColumns({"file_year": f.year(pickup), "file_month": f.month(pickup)})
+        )
+        folders = ["file_year", "file_month"]
+        legacy = f.coalesce(f.col("file_year") < DRIFT_YEAR, f.lit(False))
         root = shared_path(spark, "raw")
-        halves = {
-            "legacy": legacy_layout(standard.filter(is_legacy())),
-            "current": standard.filter(~is_legacy()),
-        }
-        for name, half in halves.items():
-            months = half.withColumns(
-                {
-                    "file_year": f.year("tpep_pickup_datetime"),
-                    "file_month": f.month("tpep_pickup_datetime"),
-                }
-            )
-            write_table(months, f"{root}/{name}", ["file_year", "file_month"])
+        write_table(
+            months.filter(legacy),
+            f"{root}/legacy",
+            folders,
+            derive=lambda rows: legacy_layout(_as_trips(rows, *folders)),
+        )
+        write_table(
+            months.filter(~legacy),
+            f"{root}/current",
+            folders,
+            derive=lambda rows: _as_trips(rows, *folders),
+        )
         return root
 
     return once(spark, sf_dir, "raw_root", build)

@@ -10,6 +10,7 @@ from tripmetrics.operators import broadcast_if_small
 from tripmetrics.plans import metrics
 from tripmetrics.plans.jobs import clean, tidy
 from tripmetrics.sources import read_months, read_staged, read_zones, write_table
+from tripmetrics.sources.writing import _arranged
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +93,20 @@ def test_generated_methods_are_small_enough_to_be_compiled(spark, staged, dim, c
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_raw_months_move_narrow_and_are_sorted_once(spark, monkeypatch):
+    """Only what trips come from is moved and sorted, and the write finds its folders in order."""
+    from checks import trip_frame
+
+    taken = []
+    monkeypatch.setattr(trip_frame, "once", lambda spark, sf_dir, name, build: build())
+    monkeypatch.setattr(trip_frame, "write_table", lambda *args, **how: taken.append((args, how)))
+    trip_frame.raw_root(spark, "/root/testdata/sf0.001")
+    assert len(taken) == 2
+    lineitem = set(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").columns)
+    for (moved, _, folders), how in taken:
+        assert set(moved.columns) <= lineitem | set(folders)
+        plan = plan_of(_arranged(moved, folders, **how))
+        assert plan.index("Project") < plan.index("Sort") < plan.index("Exchange")
+        assert plan.count("Sort [file_year") == 1
