@@ -3,13 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as f
 
 from checks.trip_frame import legacy_layout
 from tests.conftest import plan_of
 from tripmetrics.operators import broadcast_if_small
 from tripmetrics.plans import metrics
 from tripmetrics.plans.jobs import clean, tidy
-from tripmetrics.sources import read_months, read_staged, read_zones, write_table
+from tripmetrics.sources import read_months, read_staged, read_zones, write_table, writing
 from tripmetrics.sources.writing import _arranged
 
 
@@ -110,3 +112,51 @@ def test_raw_months_move_narrow_and_are_sorted_once(spark, monkeypatch):
         plan = plan_of(_arranged(moved, folders, **how))
         assert plan.index("Project") < plan.index("Sort") < plan.index("Exchange")
         assert plan.count("Sort [file_year") == 1
+
+
+_AT_ONCE = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """Of each write to parquet: the plan of its rows and how many files a task keeps open."""
+    seen = []
+    written = DataFrameWriter.parquet
+
+    def parquet(self, *args, **kwargs):
+        seen.append((plan_of(self._df), self._df.sparkSession.conf.get(_AT_ONCE, None)))
+        return written(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen
+
+
+@pytest.mark.parametrize("at_once", [100, 3])
+def test_folders_are_written_without_a_sort(spark, writes, monkeypatch, tmp_path, at_once):
+    """Sorted rows of many months spill; more folders than a task may open change no row."""
+    monkeypatch.setattr(writing, "OPEN_FOLDERS", at_once)
+    rows = spark.range(5000).selectExpr("id", "id % 12 AS month")
+    doubled = {"derive": lambda df: df.withColumn("twice", f.col("id") * 2)}
+    for how in ({}, doubled):
+        path = f"{tmp_path}/{len(how)}"
+        assert write_table(rows, path, ["month"], **how) == 5000
+        assert len(list(tmp_path.glob(f"{len(how)}/month=*"))) == 12
+        found = spark.read.parquet(path).filter("id % 12 = month")
+        assert found.select("id").distinct().count() == found.count() == 5000
+    assert found.filter("twice = 2 * id").count() == 5000
+    assert [open_files for _, open_files in writes] == [str(at_once)] * 2
+    assert not any("Sort" in plan for plan, _ in writes)
+    assert spark.conf.get(_AT_ONCE, None) is None
+
+
+def test_a_session_decides_how_many_folders_are_open(spark, writes, tmp_path):
+    spark.conf.set(_AT_ONCE, "0")
+    try:
+        rows = spark.range(50).selectExpr("id", "id % 3 AS part")
+        write_table(rows, f"{tmp_path}/sorted", ["part"], derive=lambda df: df)
+        assert spark.conf.get(_AT_ONCE) == "0"
+    finally:
+        spark.conf.unset(_AT_ONCE)
+    [(plan, open_files)] = writes
+    assert open_files == "0" and plan.count("Sort [part") == 1
+    assert spark.read.parquet(f"{tmp_path}/sorted").count() == 50
