@@ -7,7 +7,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tests.llm.conftest import TEXTS
 from tripmetrics.llm import packing
@@ -157,3 +157,23 @@ def test_words_that_never_return_take_bounded_memory():
     )
     assert done.returncode == 0, done.stderr
     assert int(done.stdout) < 200
+
+
+def test_plain_words_are_normalised_and_split_once(dice):
+    """Arrow lower-cases and splits new plain words, all characters; only the model sees them."""
+    words = packing._WordIds(WORDS)
+    tokenizer, words.tokenizer = words.tokenizer, None
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x180)) if chr(c) not in "İ<"]
+    texts = ["".join(dice.choices(letters, k=dice.randint(1, 12))) for _ in range(3000)]
+    texts += [a + b for a in ("It", "don", "''", "9", "É") for b in ("'s", "'T", "'re", "'LL", "'d1", "'dé")]
+    texts += letters
+    ids, _ = words.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in (*tokenizer.encode(t, add_special_tokens=False).ids, 0)]
+
+
+def test_a_tokenizer_that_splits_otherwise_encodes_itself(tmp_path):
+    other = Tokenizer.from_file(WORDS)
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    other.save(str(tmp_path / "other.json"))
+    words = packing._WordIds(str(tmp_path / "other.json"))
+    assert words.matcher is words.tokenizer

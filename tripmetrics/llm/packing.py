@@ -11,11 +11,10 @@ is a whole one together with what was kept before it; the one with fewest sequen
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from math import ceil
+from typing import TYPE_CHECKING
 from zlib import crc32
 
 import numpy as np
@@ -27,6 +26,9 @@ from pyspark.sql import functions as f
 from tripmetrics.llm.shipping import ship
 from tripmetrics.sources.shared import store
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CAPACITY = 2048
 PARTITION_ITEMS = 60_000
 #: Rounds without a gain after which the exchange ends.
@@ -36,11 +38,21 @@ CACHE_MATCHES = 50_000
 CACHED_BYTES = 64
 MATCHES_AT_ONCE = 4096
 TEXT_AT_ONCE = 1 << 20
-# Characters for which normalisation and splitting are plain: ASCII and composed Latin letters.
-_PLAIN = re.compile("[\\x21-\\x7e\\u00c0-\\u012f\\u0131-\\u017f]+")
-_MATCH = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u017f]+|[0-9]"
-    "|[^a-z0-9\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u017f]+"
+# Words of characters for which normalisation and splitting are plain: ASCII and composed Latin
+# letters. Both expressions are Arrow's, so that no word is looked at by itself.
+_PLAIN = "^[\x21-\x7e\u00c0-\u012f\u0131-\u017f]+$"
+_MATCH = (
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]"
+    "|[^a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+"
+)
+# Matches with each plain character that a lower-cased word may have.
+_SAMPLE = " ".join(
+    [
+        *"0123456789",
+        "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00d7\u00f7",
+        "abcdefghijklmnopqrstuvwxyz",
+        *(chr(c) for c in range(0xDF, 0x180) if chr(c).isalpha() and chr(c).islower()),
+    ]
 )
 _PIECES = "row_no bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PACKED = _PIECES + ", bin bigint, offset bigint, kept boolean, bins bigint, bound bigint"
@@ -56,60 +68,80 @@ class _WordIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model, for matches that are lower-cased and told apart by spaces already
+        self.matcher = Tokenizer(self.tokenizer.model)
+        self.matcher.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        if self._ids(self.matcher, _SAMPLE) != self._ids(self.tokenizer, _SAMPLE):
+            self.matcher = self.tokenizer
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
-        self.matches: dict[str, bytes] = {}
-        self.old_matches: dict[str, bytes] = {}
+        self.matches: dict[bytes, bytes] = {}
+        self.old_matches: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _ids(tokenizer: Tokenizer, text: str) -> list[int]:
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _encode_matches(self, matches: list[str]) -> None:
-        if not matches:
-            return
-        text = " ".join(matches)
-        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        ids = np.array(encoded.ids, "<u4")
+    def _encode_matches(self, matches: list[bytes]) -> list[bytes]:
+        text = b" ".join(matches).decode("utf-8")
+        ids = np.array(self._ids(self.matcher, text), "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(matches):  # not plain after all
-            self.matches.update((m, self._alone(m)) for m in matches)
-            return
-        packed, at = ids.tobytes(), 0
-        for match, end in zip(matches, (4 * ends).tolist()):
-            self.matches[match] = packed[at:end]
-            at = end
-
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """Keep the ids of new words; return those of words too long to keep."""
-        once, plain = {}, {}
-        for word in new:
-            if word in self.old_words:
-                self.words[word] = self.old_words[word]
-                continue
-            text = word.decode("utf-8")
-            if len(word) > CACHED_BYTES:
-                once[word] = self._alone(text)
-            elif "<|" in text or not _PLAIN.fullmatch(text):
-                self.words[word] = self._alone(text)
-            else:
-                plain[word] = _MATCH.findall(text.lower())
+            return [self._alone(match.decode("utf-8")) for match in matches]
+        return _cut(ids.tobytes(), ends)
+
+    def _plain_words(self, words: pa.Array) -> list[bytes]:
+        """Ids of words of plain characters, put together from those of their matches."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(words), _MATCH, "\\0 ")
+        split = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(spaced))
+        matches = split.flatten().dictionary_encode()
+        distinct = _bytes(matches.dictionary)
+        ids = list(map(self.matches.get, distinct))
+        new = [n for n, known in enumerate(ids) if known is None]
         unknown = []
-        for match in dict.fromkeys(chain.from_iterable(plain.values())):
-            if match in self.old_matches:
-                self.matches[match] = self.old_matches[match]
-            elif match not in self.matches:
-                unknown.append(match)
+        for n in new:
+            ids[n] = self.old_matches.get(distinct[n])
+            if ids[n] is None:
+                unknown.append(n)
         for at in range(0, len(unknown), MATCHES_AT_ONCE):
-            self._encode_matches(unknown[at : at + MATCHES_AT_ONCE])
-        for word, matches in plain.items():
-            self.words[word] = b"".join([self.matches[m] for m in matches])
-        return once
+            part = unknown[at : at + MATCHES_AT_ONCE]
+            for n, found in zip(part, self._encode_matches([distinct[n] for n in part])):
+                ids[n] = found
+        self.matches.update((distinct[n], ids[n]) for n in new)
+        found, ends = _gather(ids, matches.indices)
+        return _cut(found.tobytes(), ends[split.offsets.to_numpy()[1:]])
+
+    def _learn(self, new: pa.Array) -> list[bytes]:
+        """Ids of words that are not remembered; all but words too long for it then are."""
+        distinct = _bytes(new)
+        ids = list(map(self.old_words.get, distinct))
+        unknown = pa.array([n for n, known in enumerate(ids) if known is None], pa.int64())
+        words = new.take(unknown)
+        long = pc.greater(pc.binary_length(words), CACHED_BYTES)
+        special = pc.or_(long, pc.match_substring(words, "<|"))
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), special)
+        for n, found in zip(unknown.filter(plain).to_pylist(), self._plain_words(words.filter(plain))):
+            ids[n] = found
+        for n in unknown.filter(pc.invert(plain)).to_pylist():
+            ids[n] = self._alone(distinct[n].decode("utf-8"))
+        self.words.update(zip(distinct, ids))
+        for n in unknown.filter(long).to_pylist():
+            del self.words[distinct[n]]
+        return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, a 0 after each, and where each begins in them (and the end).
@@ -122,23 +154,37 @@ class _WordIds:
             self.old_matches, self.matches = self.matches, {}
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(self.words.get, distinct))
+        ids = list(map(self.words.get, _bytes(words.dictionary)))
         new = [n for n, known in enumerate(ids) if known is None]
-        once = self._learn([distinct[n] for n in new])
-        for n in new:
-            ids[n] = once[distinct[n]] if distinct[n] in once else self.words[distinct[n]]
-        known = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = np.cumsum(size) - size
-        code = words.indices.to_numpy()
-        end_of_word = np.concatenate([[0], np.cumsum(size[code])])
-        place = np.repeat(start[code] - end_of_word[:-1], size[code])
-        found = known[place + np.arange(len(place))]
+        if new:
+            for n, learnt in zip(new, self._learn(words.dictionary.take(pa.array(new)))):
+                ids[n] = learnt
+        found, end_of_word = _gather(ids, words.indices)
         begins = end_of_word[split.offsets.to_numpy()]
         return np.insert(found, begins[1:], 0), begins + np.arange(len(begins))
 
 
+def _bytes(texts: pa.Array) -> list[bytes]:
+    return texts.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _cut(packed: bytes, ends: np.ndarray) -> list[bytes]:
+    """``packed`` ids cut at these ends."""
+    places = (4 * ends).tolist()
+    return [packed[at:end] for at, end in zip([0, *places], places)]
+
+
+def _gather(ids: list[bytes], indices: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that ``indices`` point at, one after the other, and where each ends, after a 0."""
+    known = np.frombuffer(b"".join(ids), "<u4")
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    start = np.cumsum(size) - size
+    code = indices.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(size[code])])
+    place = np.repeat(start[code] - ends[:-1], size[code])
+    return known[place + np.arange(len(place))], ends
+
+
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> _WordIds:
     return _WordIds(path)
